@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, jaccard, linededup, mixing, quality, tokenbin, urlfilter
+from . import decontam, htmltext, jaccard, linededup, mixing, pii, quality, substrdedup, tokenbin, urlfilter
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base, more = pii.digest(F.col("base")), pii.digest(F.col("more"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)).cast("long") for k in pii.KINDS]
+    counts = [(F.size("base") - n).alias(f"n_{k}") for k, n in zip(pii.KINDS, counts, strict=True)]
+    spans = F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(more, F.lit("")))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.tokenize(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -49,6 +59,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return substrdedup.remove_spans(docs, substrdedup.repeated_spans(docs), with_text=False)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256)
@@ -63,12 +78,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
+            op1_pii,
             op2_token_binary,
             op3_line_dedup,
             op4_ngram_jaccard,
             op5_html_text,
             op6_quality_rules,
             op7_url_filter,
+            op8_substring_dedup,
             op9_decontamination,
             op10_source_mix,
         )
