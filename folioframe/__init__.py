@@ -1,3 +1,16 @@
 """folioframe: page-layout contracts and corpus preparation as Spark DataFrame plans."""
 
+from __future__ import annotations
+
+import os
+
 __version__ = "0.1.0"
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship(spark) -> None:
+    """Let Python workers import this package from where the driver has it, if nothing else does."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, path)))

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import ship
+
 FX_PAGES = """
 select o_custkey as doc_id,
   cast(row_number() over (partition by o_custkey order by o_orderkey) as int) as page_number,
@@ -58,6 +60,7 @@ FAILED = "doc_id % 37 = 0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
