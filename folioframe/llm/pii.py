@@ -75,7 +75,7 @@ def _validity(kind: str):
 _SPAN = "array<struct<kind:string,begin:int,end:int,value:string>>"
 
 
-def _located(text: Column, pattern: str, label: Column, valid, keep_order: bool = False) -> Column:
+def _located(text: Column, pattern: str, label: Column, valid) -> Column:
     """The valid matches of a pattern with their code points; all matches move the position."""
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -121,27 +121,30 @@ def disclosing_terms(docs: DataFrame, *, support: int = SUPPORT, generalise: flo
     """entity, term, share (PMI / IC) of every term over the threshold; None where no pair has the support."""
     texts = _texts(docs, id_col, text_col)
     held = _held(texts)
-    # A pair's documents, and its different lines as far as the support needs to be known.
     each = held.select("doc_id", "th", "line", "entity", F.explode("terms").alias("term"))
-    by_line = each.groupBy("entity", "term", "line").agg(F.count(F.lit(1)).alias("n"))
-    pairs = stored(
-        by_line.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("n_both")).where(F.col("lines") >= support), "pii-pairs"
-    )
+    by_line = each.select("entity", "term", "line").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("lines"))
+    pairs = stored(by_line.where(F.col("lines") >= support), "pii-pairs")
     n_pairs = pairs.count()
     if not n_pairs:
         return None
+    n_both = each.join(small(pairs, n_pairs), ["entity", "term"], "left_semi").select("doc_id", "th", "entity", "term").distinct()
+    n_both = n_both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     n_all = docs.count()
     terms = pairs.select("term").distinct()
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
     n_term = words.join(small(terms, n_pairs), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     entities = pairs.select("entity").distinct()
     n_entity = (
-        held.select("doc_id", "th", "entity").join(small(entities, n_pairs), "entity", "left_semi").groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+        held.select("doc_id", "th", "entity")
+        .join(small(entities, n_pairs), "entity", "left_semi")
+        .distinct()
+        .groupBy("entity")
+        .agg(F.count(F.lit(1)).alias("n_entity"))
     )
     pmi = F.log2(F.lit(float(n_all)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     ic = F.log2(F.lit(float(n_all)) / F.col("n_entity"))
     share = F.when(ic > 0, pmi / ic)
-    out = pairs.join(n_term, "term").join(n_entity, "entity").withColumn("share", share).where(F.col("share") >= generalise)
+    out = n_both.join(n_term, "term").join(n_entity, "entity").withColumn("share", share).where(F.col("share") >= generalise)
     return stored(out.select("entity", "term", F.least("share", F.lit(1.0)).alias("share")), "pii-terms")
 
 

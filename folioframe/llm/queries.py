@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import ship
 from . import decontam, htmltext, jaccard, linededup, mixing, pii, quality, substrdedup, tokenbin, urlfilter
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +21,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
