@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import ship
+
 #: Fixed values of the contracts: white space, and a word made of anything else.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,7 @@ def rows_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     ``th`` hashes the text.  (doc, th) names a row: rows that agree in both are copies of one row
     and always get the same result, so joining on the pair is safe with repeated ids.
     """
+    ship(docs.sparkSession)
     return docs.select(
         id_of(docs, id_col).alias("doc"),
         text_of(docs, text_col).cast("binary").alias("body"),
@@ -117,7 +120,8 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered; forgets all when it gets large."""
 
-    LIMIT = 1_000_000
+    #: About 150 bytes a word in each Python worker.
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest

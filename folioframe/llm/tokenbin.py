@@ -25,6 +25,7 @@ largest long.  Repeated rows are each written.  An empty table gives no shards.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_back, id_of, scratch_path, small, text_of
+from .common import id_back, id_of, scratch_path, small, stored, text_of
 
 MAGIC = b"FFTOKS1\n"
 BLOCK = 64
@@ -46,6 +47,20 @@ PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+
 #: Characters on which Python's classes and the library's might differ: such a text is given whole to the library.
 HARD = re.compile("[\x1c-\x1f\x85\xb2\xb3\xb9\xbc\xbd\xbe]|[^\x00-ɏ]")
 
+_AS_BYTES = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
+def _is_hard(text: str) -> bool:
+    """As HARD.search, faster for texts in ASCII and Latin-1."""
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return HARD.search(text) is not None
+        if any(c in text for c in "\x85\xb2\xb3\xb9\xbc\xbd\xbe"):
+            return True
+    return any(c in text for c in "\x1c\x1d\x1e\x1f")
+
 
 class Encoder:
     """The tokenizer file's ids as little-endian uint32 bytes, with the pieces' ids remembered.
@@ -54,7 +69,8 @@ class Encoder:
     string goes through the library's whole chain.
     """
 
-    LIMIT = 1_000_000
+    #: Pieces in each of the two generations that a Python worker remembers, about 250 bytes each.
+    LIMIT = 250_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -70,17 +86,26 @@ class Encoder:
         hidden = (b for b in range(256) if b not in self.table)
         self.table |= {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         if len(self.pieces) >= self.LIMIT:
-            self.pieces.clear()
-        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.table))]
-        out = self.pieces[piece] = np.array(ids, "<u4").tobytes()
+            self.older, self.pieces = self.pieces, {}
+        if (known := self.older.get(piece)) is not None:
+            self.pieces[piece] = known
+            return known
+        if piece.isascii() and piece.isprintable() and " " not in piece[1:]:
+            shown = "\u0120" + piece[1:] if piece[0] == " " else piece  # as the table has it
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.table)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        out = self.pieces[piece] = _AS_BYTES[len(ids)](*ids) if len(ids) < len(_AS_BYTES) else struct.pack(f"<{len(ids)}I", *ids)
         return out
 
     def encode(self, text: str) -> bytes:
-        if not self.plain or (not text.isascii() or re.search("[\x1c-\x1f]", text)) and HARD.search(text) or self.special and self.special.search(text):
+        if not self.plain or self.special and self.special.search(text) or _is_hard(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        # A text may start a new generation: the dictionary at hand is still right for all of it.
         get, piece = self.pieces.get, self._piece
         return b"".join([get(p) or piece(p) for p in PIECES.findall(text)])
 
@@ -209,7 +234,7 @@ def read(spark: SparkSession, path: str, *, with_ids: bool = False) -> DataFrame
             shards = [Shard(x.as_buffer()) for x in batch["content"]]
             yield pa.RecordBatch.from_arrays([pa.array([s.partition for s in shards], pa.int64()), pa.array([s.n_ids for s in shards], pa.int64())], names=["partition", "n"])
 
-    totals = files.select("content").mapInArrow(heads, "partition long, n long").groupBy("partition").agg(F.sum("n").alias("n"))
+    totals = stored(files.select("content").mapInArrow(heads, "partition long, n long").groupBy("partition").agg(F.sum("n").alias("n")), "token-totals")
     order = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("partition", F.coalesce(F.sum("n").over(order), F.lit(0)).cast("long").alias("offset"))
     kind = pa.list_(pa.int32())
@@ -236,7 +261,7 @@ def read(spark: SparkSession, path: str, *, with_ids: bool = False) -> DataFrame
 
     schema = "partition long, doc_id long, begin long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     found = files.select("content").mapInArrow(rows, schema)
-    offsets = small(offsets, offsets.count())
+    offsets = small(offsets, totals.count())
     return found.join(offsets, "partition").select(
         id_back(F.col("doc_id")).alias("doc_id"), (F.col("begin") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])
     )
