@@ -231,28 +231,30 @@ def _second_pairs(lists: DataFrame, labels: DataFrame, percent: int, limit: int)
 
 
 def _links(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs that link: each pair meets both its sets, which are compared exactly."""
+    """The pairs that link: each pair meets both its texts, which travel compressed, and compares their sets."""
     ids = stored(pairs.select(F.col("a").alias("doc")).unionAll(pairs.select(F.col("b").alias("doc"))).distinct(), "ids")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(b, width).tobytes() for b in batch["body"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(found, pa.binary())], names=["doc", "s"])
+            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array([zlib.compress(b, 1) for b in batch["body"].to_pylist()], pa.binary())], names=["doc", "z"])
 
-    content = rows.select("doc", "body").join(small(ids, ids.count()), "doc", "left_semi").mapInArrow(sets, "doc long, s binary")
+    content = rows.select("doc", "body").join(small(ids, ids.count()), "doc", "left_semi").mapInArrow(squeeze, "doc long, z binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, y = None, None
         for batch in batches:
             keep = []
-            for k, (x, y) in enumerate(zip(batch["sa"], batch["sb"], strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for k, (za, zb) in enumerate(zip(batch["za"], batch["zb"], strict=True)):
+                if (zb := zb.as_py()) != last:  # rows come sorted by b
+                    last, y = zb, shingles(zlib.decompress(zb), width)
+                x = shingles(zlib.decompress(za.as_py()), width)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if both and 100 * both >= percent * (len(x) + len(y) - both):
                     keep.append(k)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    left = pairs.join(content.select(F.col("doc").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(content.select(F.col("doc").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb")
+    left = pairs.join(content.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
+    both = left.join(content.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b").select("a", "b", "za", "zb")
     return stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
@@ -268,7 +270,8 @@ def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PER
     several = members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc")
     own = members.join(several, "doc", "left_semi").join(classes, "sig").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
-    chosen = rows.join(classes.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
+    # Always by a shuffle of the texts, however few the classes: the plan is the same at every size.
+    chosen = rows.join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
     lists = stored(_listed(_entries(chosen, levels, width, percent, limit)), "lists")
     first = stored(_first_pairs(lists, percent, limit), "pairs")
     links = _links(first, rows, width, percent).unionAll(own)
