@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import ship
 from . import decontam, htmltext, jaccard, linededup, mixing, pii, quality, substrdedup, tokenbin, urlfilter
+from .sql import ORACLES
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -95,4 +96,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """All but op2 (the library's vocabulary) and op5 (the trained tree), which tests hold against plain Python."""
+    return dict(ORACLES)
