@@ -9,6 +9,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..schemas import EXTENSIONS, OVERLAY_DIR
 
@@ -62,7 +63,7 @@ def slug(path: Column) -> Column:
     return F.coalesce(F.nullif(clean, F.lit("")), F.lit("document"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _folded(path: pd.Series) -> pd.Series:
     """Full case folding, which Spark's lower() is not."""
     return path.map(lambda p: None if p is None else p.casefold())
