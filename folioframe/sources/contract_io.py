@@ -6,7 +6,7 @@ import json
 import posixpath
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,21 +69,9 @@ def bundles(documents: DataFrame, pages: DataFrame, regions: DataFrame, errors:
     return out
 
 
-def _plain(value):
-    if hasattr(value, "asDict"):
-        value = value.asDict()
-    if isinstance(value, dict):
-        return {k: _plain(v) for k, v in value.items()}
-    if hasattr(value, "tolist"):
-        value = value.tolist()
-    if isinstance(value, (list, tuple)):
-        return [_plain(v) for v in value]
-    return None if isinstance(value, float) and value != value else value
-
-
 def files_of(row: dict) -> dict[str, str]:
     """The JSON files of one bundle, by name, in the order they are written: the manifest commits."""
-    regions, errors, pages, rendered = (_plain(row[n]) if row[n] is not None else [] for n in ("regions", "errors", "pages", "rendered"))
+    regions, errors, pages, rendered = (row[n] or [] for n in ("regions", "errors", "pages", "rendered"))
     layout = {
         "schema_version": row.get("schema_version") or SCHEMA_VERSION,
         "source": row["source"],
@@ -139,18 +127,18 @@ def export(
     if overlay_coverage(pages, overlays).take(1):
         raise ValueError("the overlays have to be those of the rendered pages")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
-            for row in part.to_dict("records"):
+            for row in part.to_pylist():
                 folder = f"{root}/{row['doc_key']}"
                 for name, text in files_of(row).items():
                     if not (only_layout and name == "manifest.json"):
                         write(f"{folder}/{name}", text.encode())
-                out.append((row["doc_key"], folder, row["status"], len(row["pages"]) if row["pages"] is not None else 0))
-            yield pd.DataFrame(out, columns=["doc_key", "output_dir", "status", "n_pages"])
+                out.append({"doc_key": row["doc_key"], "output_dir": folder, "status": row["status"], "n_pages": len(row["pages"] or ())})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_key", pa.string()), ("output_dir", pa.string()), ("status", pa.string()), ("n_pages", pa.int32())]))
 
-    return bundles(documents, pages, regions, errors, overlays).mapInPandas(run, "doc_key string, output_dir string, status string, n_pages int")
+    return bundles(documents, pages, regions, errors, overlays).mapInArrow(run, "doc_key string, output_dir string, status string, n_pages int")
 
 
 def checked_artifact(path: str, folder: str, exists: Callable[[str], bool] | None = None) -> str:

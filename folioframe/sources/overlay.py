@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,19 +85,19 @@ def export(boxes: DataFrame, root: str, read: Callable[[str], bytes] = read_file
     ``read`` and ``write`` may go to another store.
     """
 
-    def pages(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pages(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
-            for key, number, image, drawn in zip(part["doc_key"], part["page_number"], part["image"], part["boxes"], strict=True):
+            for row in part.to_pylist():
+                key, number, image, listed = (row[c] for c in ("doc_key", "page_number", "image", "boxes"))
                 folder = f"{root}/{key}"
-                listed = [b.asDict() if hasattr(b, "asDict") else dict(b) for b in drawn]
                 picture = png.decode(read(f"{folder}/{image}"))
                 name = f"{OVERLAY_DIR}/{image.rsplit('/', 1)[-1].rsplit('.', 1)[0]}_bbox.png"
                 write(f"{folder}/{name}", png.encode(draw(picture, listed)))
-                out.append((key, number, name))
-            yield pd.DataFrame(out, columns=["doc_key", "page_number", "bbox_image"])
+                out.append({"doc_key": key, "page_number": number, "bbox_image": name})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_key", pa.string()), ("page_number", pa.int32()), ("bbox_image", pa.string())]))
 
     fields = ("region_idx", "x0", "y0", "x1", "y1", "color", "line_width", "caption")
     listed = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct(*fields))))
     grouped = boxes.groupBy("doc_key", "page_number", "image").agg(listed.alias("boxes"))
-    return grouped.mapInPandas(pages, "doc_key string, page_number int, bbox_image string")
+    return grouped.mapInArrow(pages, "doc_key string, page_number int, bbox_image string")

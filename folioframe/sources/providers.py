@@ -11,8 +11,9 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from numbers import Real
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..functions.naming import check_device, check_dpi, check_image_dir
 from ..schemas import DEFAULT_DPI, DEFAULT_IMAGE_DIR, MODEL_NAME, PAGES, POINTS_PER_INCH, RAW_BOXES
@@ -59,6 +60,13 @@ def open_pdf(path: str, scale: float) -> Iterator[tuple[Any, int]]:
         document.close()
 
 
+_ARROW = {"string": pa.string(), "integer": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return pa.schema([(f.name, _ARROW[f.dataType.typeName()]) for f in schema])
+
+
 def render(
     documents: DataFrame,
     root: str,
@@ -74,10 +82,11 @@ def render(
     """
     check_dpi(dpi)
     image_dir = check_image_dir(image_dir)
+    schema = T.StructType([*PAGES, *RAW_BOXES.fields[-2:]])
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for key, source in zip(part["doc_key"], part["source"], strict=True):
+            for key, source in zip(part["doc_key"].to_pylist(), part["source"].to_pylist(), strict=True):
                 rows = []
                 try:
                     if not source.lower().endswith(".pdf"):
@@ -85,15 +94,12 @@ def render(
                     for k, (image, rotation) in enumerate(opener(source, dpi / POINTS_PER_INCH), 1):
                         name = f"{image_dir}/page-{k:04d}.png"
                         write(f"{root}/{key}/{name}", png.encode(image))
-                        rows.append((key, k, name, image.shape[1], image.shape[0], rotation, None, None))
+                        rows.append(dict(zip(PAGES.names, (key, k, name, image.shape[1], image.shape[0], rotation), strict=True)))
                 except Exception as error:  # noqa: BLE001 - recorded for this document
-                    rows = [(key, None, None, None, None, None, type(error).__name__, str(error))]
-                yield pd.DataFrame(rows, columns=[*PAGES.names, "exception_type", "message"]).astype(
-                    {c: "Int32" for c in ("page_number", "page_width", "page_height", "rotation_degrees")}
-                )
+                    rows = [{"doc_key": key, "exception_type": type(error).__name__, "message": str(error)}]
+                yield pa.RecordBatch.from_pylist(rows, arrow_schema(schema))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PAGES) + ", exception_type string, message string"
-    return documents.select("doc_key", "source").mapInPandas(run, schema)
+    return documents.select("doc_key", "source").mapInArrow(run, schema)
 
 
 _COORDINATES = ("x0", "y0", "x1", "y1")
@@ -152,10 +158,10 @@ def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: s
     """
     device = check_device(device)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
-            for key, number, image in zip(part["doc_key"], part["page_number"], part["image"], strict=True):
+            for key, number, image in zip(*(part[c].to_pylist() for c in ("doc_key", "page_number", "image")), strict=True):
                 rows: list[dict] = []
                 page = {"doc_key": key, "page_number": number}
                 try:
@@ -174,8 +180,6 @@ def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: s
                     if any(r.get("is_mapping") is False or not r.get("label_ok") or r.get("score_error") or r.get("coord_error") for r in good):
                         rows = good
                 out += [page | r for r in rows] or [page]
-            frame = pd.DataFrame(out, columns=RAW_BOXES.names)
-            ints, flags = ("page_number", "box_idx"), ("is_mapping", "label_ok")
-            yield frame.astype({**dict.fromkeys(ints, "Int32"), **dict.fromkeys(flags, "boolean"), **dict.fromkeys(("score", *_COORDINATES), "Float64")})
+            yield pa.RecordBatch.from_pylist(out, arrow_schema(RAW_BOXES))
 
-    return pages.select("doc_key", "page_number", "image").mapInPandas(run, RAW_BOXES)
+    return pages.select("doc_key", "page_number", "image").mapInArrow(run, RAW_BOXES)
