@@ -161,8 +161,8 @@ def _term_spans(docs: DataFrame, found: DataFrame, remove: float, id_col: str, t
         .groupBy("doc_id", "th")
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
     )
-    key = (texts["doc_id"].eqNullSafe(mine["doc_id"])) & (texts["th"] == mine["th"])
-    both = texts.join(mine, key).select(texts["doc_id"], texts["th"], "text", "shares").dropDuplicates(["doc_id", "th"])
+    mine = mine.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "shares")
+    both = texts.join(mine, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).dropDuplicates(["doc_id", "th"])
     words = _located(F.col("text"), r"\p{L}++", F.lit("term"), lambda m: F.map_contains_key(F.col("shares"), F.lower(m)))
     label = lambda s: F.when(F.col("shares")[F.lower(s["value"])] >= remove, F.lit("term_removed")).otherwise(F.lit("term"))
     named = F.transform(words, lambda s: F.struct(label(s).alias("kind"), s["begin"].alias("begin"), s["end"].alias("end"), s["value"].alias("value")))
