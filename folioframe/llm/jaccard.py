@@ -11,8 +11,8 @@ Sets of 5-word shingles link if their Jaccard similarity is at least ``percent``
     its first n - ceil(percent * n / 100) + 1 shingles, and a pair is looked at where list positions and
     sizes still allow enough overlap.
 4.  Lists are scanned twice, so that groups of near copies never make all pairs.  The first scan
-    pairs each entry with the one before it and the first of its list, compares these pairs exactly,
-    and forms components.  The second compares every remaining pair of a list whose ends lie in
+    pairs each entry with the one before it and the first of its list, compares each document's few
+    most frequent pairs exactly, and forms components.  The second compares every remaining pair of a list whose ends lie in
     different components.  A pair that is skipped has both ends in one component already, so the
     components are those of all links.
 
@@ -126,6 +126,8 @@ def _classes_of_frequency(counted: DataFrame) -> np.ndarray:
 
 
 _BOTH_SMALL = -1
+#: Pairs of each document that the first scan compares; the second looks at all that are still apart.
+FIRST_PAIRS = 5
 
 
 def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> DataFrame:
@@ -217,7 +219,12 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     seen = lists.select(me.alias("x"), F.lag(me).over(order).alias("y"), F.first(me).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("z"))
     with_last = seen.where(_may_link("x", "y", percent, limit))
     with_first = seen.where("x.doc <> z.doc").where(_may_link("x", "z", percent, limit) | F.expr("x.n < 0 AND z.n < 0"))
-    return _pairs(with_last, "x.doc", "y.doc").unionAll(_pairs(with_first, "x.doc", "z.doc")).distinct()
+    named = lambda found, other: found.select(F.col("x.doc").alias("me"), F.col(f"{other}.doc").alias("other")).where("me <> other")
+    met = named(with_last, "y").unionAll(named(with_first, "z")).groupBy("me", "other").agg(F.count(F.lit(1)).alias("lists"))
+    # The partners met in most lists connect a group; any other pair is left to the second scan.
+    likely = Window.partitionBy("me").orderBy(F.desc("lists"), "other")
+    chosen = met.withColumn("k", F.row_number().over(likely)).where(F.col("k") <= FIRST_PAIRS)
+    return _pairs(chosen, "me", "other").distinct()
 
 
 def _second_pairs(lists: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
