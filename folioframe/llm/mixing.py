@@ -10,9 +10,9 @@ and the lowest ranked are taken until the source's words reach the target; the d
 boundary is taken if that brings the words nearer to it.  f differs between the sources, so the
 inclusion is of unequal probability over the whole table, with a fixed size within each source.
 
-No window runs over a whole source.  Words are first summed by source and slice of U (a map-side
-sum); running sums over these slices find the one slice of each source that holds the boundary, and
-only its rows are ranked one by one.
+No window runs over a whole source.  Words are first summed by source and fine slice of U (a map-side
+sum).  Running sums find the boundary's coarse slice and then its fine slice within that, each over
+``FAN`` rows of a source at most, and only the rows of this fine slice are ranked one by one.
 
 Targets: sources by code point, null last, weigh 1, 2, 3, repeating, and share all words.  A target
 stops at ``max_copies`` times its source's size and the excess is shared by weight again; this is the
@@ -33,8 +33,8 @@ from .common import WORD_PATTERN, small, stored
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 SEED = 7
-#: Slices of U: the rows ranked one by one are about a share 1 / SLICES of each source.
-SLICES = 65_536
+#: Coarse slices of U, and fine slices in each: about one in FAN * FAN rows is ranked one by one.
+FAN = 1024
 
 _UNIT = float(1 << 48)
 
@@ -69,13 +69,22 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_copies:
     )
 
 
+def _edge(sums: DataFrame, slice_col: str, wanted: DataFrame) -> DataFrame:
+    """Each source's slice that holds the boundary, with the words before it; ``wanted`` has _s, _want, _base."""
+    run = Window.partitionBy("source").orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    running = sums.withColumn("_run", F.coalesce(F.sum("words").over(run), F.lit(0)))
+    found = running.join(wanted, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_before", F.col("_base") + F.col("_run"))
+    holds = (F.col("_before") <= F.col("_want")) & (F.col("_before") + F.col("words") > F.col("_want"))
+    return found.where(holds).groupBy("source").agg(F.min(F.struct(slice_col, "_before", "_want")).alias("_e")).select("source", "_e.*")
+
+
 def mix(
     docs: DataFrame,
     *,
     weights: tuple[float, ...] = WEIGHTS,
     max_copies: int = MAX_COPIES,
     seed: int = SEED,
-    slices: int = SLICES,
+    fan: int = FAN,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -92,7 +101,7 @@ def mix(
         size_of(docs[text_col]).alias("size"),
         *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []),
     ).withColumn("_u", _uniform(F.col("doc_id"), seed))
-    read = read.withColumn("_slice", F.floor(F.col("_u") * slices).cast("int"))
+    read = read.withColumn("_slice", F.floor(F.col("_u") * (fan * fan)).cast("int"))
 
     sums = stored(read.groupBy("source", "_slice").agg(F.sum("size").cast("long").alias("words"), F.count(F.lit(1)).alias("n")), "mix-sums")
     plan = stored(targets(sums.select("source", F.col("words").alias("size")), weights, max_copies), "mix-targets")
@@ -101,15 +110,14 @@ def mix(
     plan = plan.withColumn("_whole", whole).withColumn("_want", F.greatest(F.col("target") - F.col("_whole") * F.col("source_size"), F.lit(0.0)))
     plan = plan.withColumn("_f", F.when(F.col("source_size") > 0, F.col("_want") / F.col("source_size")).otherwise(F.lit(0.0)))
 
-    # The slice of each source where the running sum passes what is wanted.
-    run = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices_of = sums.withColumn("_before", F.coalesce(F.sum("words").over(run), F.lit(0)))
-    cut = (
-        slices_of.join(plan.select(F.col("source").alias("_s"), "_want"), F.col("source").eqNullSafe(F.col("_s")))
-        .where((F.col("_want") > 0) & (F.col("_before") <= F.col("_want")) & (F.col("_before") + F.col("words") > F.col("_want")))
-        .groupBy("source")
-        .agg(F.min(F.struct("_slice", "_before")).alias("_cut"))
-    )
+    # The slice of each source where the running sum passes what is wanted: the coarse one, then the fine one in it.
+    sums = sums.withColumn("_coarse", F.floor(F.col("_slice") / fan).cast("int"))
+    wanted = plan.where(F.col("_want") > 0).select(F.col("source").alias("_s"), "_want", F.lit(0).cast("long").alias("_base"))
+    coarse = _edge(sums.groupBy("source", "_coarse").agg(F.sum("words").alias("words")), "_coarse", wanted)
+    coarse = coarse.select(F.col("source").alias("_s"), F.col("_coarse").alias("_c"), "_want", F.col("_before").alias("_base"))
+    inside = sums.join(coarse, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_coarse") == F.col("_c")))
+    cut = _edge(inside.select("source", "_slice", "words"), "_slice", inside.select("_s", "_want", "_base").distinct())
+    cut = cut.select("source", F.struct("_slice", "_before").alias("_cut"))
     plan = stored(
         plan.join(cut.select(F.col("source").alias("_s"), "_cut"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
             F.col("source").alias("_source"), "source_size", "target", "_whole", "_want", "_f", F.col("_cut._slice").alias("_edge"), F.col("_cut._before").alias("_edge_before")
