@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -132,7 +131,3 @@ def extract(spark: SparkSession, source: str, extractors: dict[str, Callable[[Sp
     if wrong.take(1):
         raise ValueError("the layout extractor returned a document with another source_format")
     return result
-
-
-def union_all(tables: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), tables)

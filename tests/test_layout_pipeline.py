@@ -6,7 +6,7 @@ import os
 import numpy as np
 import pytest
 from folioframe.plans import cli, pipeline
-from folioframe.sources import overlay, png
+from folioframe.sources import contract_io, overlay, png
 
 from tests.test_layout_detection import Factory, Result, box
 
@@ -48,6 +48,10 @@ def test_pipeline(spark, tmp_path):
     assert list(layout) == ["schema_version", "source", "source_format", "status", "regions", "errors"]
     assert layout["regions"][0]["location"]["bbox"] == [10.0, 20.0, 40.0, 50.0]
     assert json.load(open(f"{a.output_dir}/render-manifest.json"))["pages"][1]["region_ids"] == ["p0002-r0001"]
+    loaded = contract_io.loaded(contract_io.parsed(contract_io.read_layouts(spark, str(out))))
+    assert contract_io.violations(*loaded).collect() == []
+    assert [r["id"] for r in loaded[1].orderBy("region_idx").collect()] == ["p0001-r0001", "p0002-r0001"]
+    assert contract_io.unknown_fields(contract_io.parsed(contract_io.read_layouts(spark, str(out)))).count() == 0
     picture = png.decode(open(a.bbox_images[0], "rb").read())
     assert tuple(picture[50, 40]) == (255, 48, 48) and tuple(picture[100, 80]) == (255, 255, 255)
     again = pipeline.run_pdf_layout(spark, source(tmp_path), output_dir=str(out), image_dir="source_pages", factory=any_page, opener=two_pages)
