@@ -178,31 +178,35 @@ def parsed(bodies: DataFrame) -> DataFrame:
 
 
 def unknown_fields(docs: DataFrame, id_col: str = "path") -> DataFrame:
-    """id, part, field of every key that the contract doesn't know.  ``docs`` comes from ``parsed``."""
-    docs.createOrReplaceTempView("_ff_docs")
-    spark = docs.sparkSession
-    parts = {
-        "document": f"SELECT {id_col} AS id, json AS part FROM _ff_docs",
-        "region": f"SELECT {id_col} AS id, r.value AS part FROM _ff_docs, LATERAL variant_explode_outer(try_variant_get(json, '$.regions')) r",
-        "error": f"SELECT {id_col} AS id, r.value AS part FROM _ff_docs, LATERAL variant_explode_outer(try_variant_get(json, '$.errors')) r",
-        "location": (
-            f"SELECT {id_col} AS id, try_variant_get(r.value, '$.location') AS part FROM _ff_docs,"
-            " LATERAL variant_explode_outer(try_variant_get(json, '$.regions')) r"
-        ),
-    }
-    out = None
-    for name, query in parts.items():
-        keys = spark.sql(
-            f"SELECT id, k.key AS field, coalesce(try_variant_get(part, '$.type', 'string'), '') AS type"
-            f" FROM ({query}), LATERAL variant_explode(CASE WHEN schema_of_variant(part) LIKE 'OBJECT<%' THEN part END) k"
-        )
-        if name == "location":
-            bad = ((F.col("type") == "structural") & ~F.col("field").isin(*FIELDS["structural"])) | ((F.col("type") != "structural") & ~F.col("field").isin(*FIELDS["visual"]))
-        else:
-            bad = ~F.col("field").isin(*FIELDS[name])
-        found = keys.where(bad).select("id", F.lit(name).alias("part"), "field")
-        out = found if out is None else out.unionAll(found)
-    return out
+    """id, part, field of every key that the contract doesn't know; one pass, no shuffle.
+
+    ``docs`` has the JSON text as ``body``.  Each level is read as a map of JSON texts, so any key shows.
+    """
+    keyed = lambda text: F.from_json(text, "map<string,string>")
+    listed = lambda text: F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+
+    def unknown(part: str, keys: Column, allowed: Column) -> Column:
+        bad = F.array_except(F.coalesce(F.map_keys(keys), F.array().cast("array<string>")), allowed)
+        return F.transform(bad, lambda k: F.struct(F.lit(part).alias("part"), k.alias("field")))
+
+    names = {k: F.array(*map(F.lit, v)) for k, v in FIELDS.items()}
+    arm = lambda at: F.when(at["type"] == "structural", names["structural"]).otherwise(names["visual"])
+    each = lambda items, f: F.flatten(F.transform(items, f))
+    level = docs.select(F.col(id_col).alias("id"), keyed(F.col("body")).alias("d"))
+    level = level.select(
+        "id",
+        "d",
+        F.transform(listed(F.col("d")["regions"]), keyed).alias("regions"),
+        F.transform(listed(F.col("d")["errors"]), keyed).alias("errors"),
+    )
+    level = level.withColumn("locations", F.transform("regions", lambda r: keyed(r["location"])))
+    found = F.concat(
+        unknown("document", F.col("d"), names["document"]),
+        each("regions", lambda r: unknown("region", r, names["region"])),
+        each("errors", lambda e: unknown("error", e, names["error"])),
+        each("locations", lambda at: unknown("location", at, arm(at))),
+    )
+    return level.select("id", F.explode(found).alias("f")).select("id", "f.part", "f.field")
 
 
 def _get(value: str, path: str, kind: str) -> str:

@@ -51,7 +51,7 @@ def test_pipeline(spark, tmp_path):
     loaded = contract_io.loaded(contract_io.parsed(contract_io.read_layouts(spark, str(out))))
     assert contract_io.violations(*loaded).collect() == []
     assert [r["id"] for r in loaded[1].orderBy("region_idx").collect()] == ["p0001-r0001", "p0002-r0001"]
-    assert contract_io.unknown_fields(contract_io.parsed(contract_io.read_layouts(spark, str(out)))).count() == 0
+    assert contract_io.unknown_fields(contract_io.read_layouts(spark, str(out))).count() == 0
     picture = png.decode(open(a.bbox_images[0], "rb").read())
     assert tuple(picture[50, 40]) == (255, 48, 48) and tuple(picture[100, 80]) == (255, 255, 255)
     again = pipeline.run_pdf_layout(spark, source(tmp_path), output_dir=str(out), image_dir="source_pages", factory=any_page, opener=two_pages)
