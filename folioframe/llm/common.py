@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -74,7 +75,9 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.folioframe.scratch", None)
         if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="folioframe-")
+            folder = tempfile.mkdtemp(prefix="folioframe-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            base = "file://" + folder
             spark.conf.set("spark.folioframe.scratch", base)
     return base
 
