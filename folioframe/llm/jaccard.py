@@ -13,8 +13,8 @@ Sets of 5-word shingles link if their Jaccard similarity is at least ``percent``
 4.  Lists are scanned twice, so that groups of near copies never make all pairs.  The first scan
     pairs each entry with the one before it and the first of its list, compares each document's few
     most frequent pairs exactly, and forms components.  The second compares every remaining pair of a list whose ends lie in
-    different components.  A pair that is skipped has both ends in one component already, so the
-    components are those of all links.
+    different components, unless their parity maps (1024 bits a set) rule a link out.  A pair that is
+    skipped has both ends in one component already or can't link, so the components are those of all links.
 
 Edge cases: a null or empty text has an empty set, linked with nothing.  A text of fewer than five
 words is one shingle of its own kind.  A null doc_id ranks last: it is the component's id only where
@@ -42,6 +42,8 @@ PERCENT = 75
 #: Counters of the frequency sketch, and the rows it travels in.
 COUNTERS = 1 << 20
 SLICES = 16
+#: Bits of a set's parity map.
+PARITY = 1024
 
 
 def shingles(body: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -78,8 +80,17 @@ def boundary(percent: int = PERCENT, list_cost: float = 6.0) -> int:
     return best
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """One bit for each of PARITY buckets: whether the set has an odd number of shingles there.
+
+    Two maps differ in at most as many bits as the sets differ in shingles.
+    """
+    odd = np.bincount((s >> np.uint64(44)).astype(np.int64) & (PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(rows: DataFrame, width: int) -> DataFrame:
-    """kind 0: doc, n, sig of each row.  kind 1: a slice of the partition's shingle counts."""
+    """kind 0: doc, n, sig, bits of each row.  kind 1: a slice of the partition's shingle counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -93,17 +104,23 @@ def _signatures(rows: DataFrame, width: int) -> DataFrame:
             any_row = any_row or len(flat) > 0
             k = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(k, np.int32)), batch["doc"], pa.array(np.array([len(s) for s in sets], np.int64)), pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())],
-                names=["kind", "doc", "n", "sig"],
+                [
+                    pa.array(np.zeros(k, np.int32)),
+                    batch["doc"],
+                    pa.array(np.array([len(s) for s in sets], np.int64)),
+                    pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                    pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["kind", "doc", "n", "sig", "bits"],
             )
         if any_row:
             parts = counts.reshape(SLICES, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(SLICES, np.int32)), pa.array(np.arange(SLICES)), pa.array(np.zeros(SLICES, np.int64)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
-                names=["kind", "doc", "n", "sig"],
+                [pa.array(np.ones(SLICES, np.int32)), pa.array(np.arange(SLICES)), pa.array(np.zeros(SLICES, np.int64)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary()), pa.nulls(SLICES, pa.list_(pa.int64()))],
+                names=["kind", "doc", "n", "sig", "bits"],
             )
 
-    return rows.mapInArrow(run, "kind int, doc long, n long, sig binary")
+    return rows.mapInArrow(run, "kind int, doc long, n long, sig binary, bits array<long>")
 
 
 def _classes_of_frequency(counted: DataFrame) -> np.ndarray:
@@ -227,13 +244,16 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     return _pairs(chosen, "me", "other").distinct()
 
 
-def _second_pairs(lists: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
-    """The pairs of each list between different components."""
+def _second_pairs(lists: DataFrame, labels: DataFrame, bits: DataFrame, percent: int, limit: int) -> DataFrame:
+    """The pairs of each list between different components, but for those whose parity maps differ too much to link."""
     named = lists.where("n >= 0").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     every = Window.partitionBy("tok")
     mixed_lists = named.withColumns({"lo": F.min("component").over(every), "hi": F.max("component").over(every)}).where("lo < hi").drop("lo", "hi")
+    mixed_lists = mixed_lists.join(bits, "doc")
+    differ = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v)"
+    near = F.expr(f"(100 + {percent}) * (x.n + y.n - {differ}) >= 2 * {percent} * (x.n + y.n)")
     x, y = mixed_lists.alias("x"), mixed_lists.alias("y")
-    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, limit))
+    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, limit) & near)
     return _pairs(joined, "x.doc", "y.doc").distinct()
 
 
@@ -265,25 +285,43 @@ def _links(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataF
     return stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
 
 
-def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> DataFrame:
-    """doc, sig, n, component for every row: the smallest doc_id that links lead to (null ids as NULL_ID)."""
+def links(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All links a > b between class representatives, and the membership (doc, rep) of every row with words.
+
+    For those who need the links themselves: there are as many as there are, in a group of near
+    copies about the square of its size.  Components don't need them, see ``near_components``.
+    """
     limit = boundary(percent) if limit is None else limit
+    rows, members, classes, lists = _prepared(docs, width, percent, limit)
+    x, y = lists.alias("x"), lists.alias("y")
+    subsets = F.expr("x.n < 0 AND y.n < 0")
+    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.doc") > F.col("y.doc")) & (_may_link("x", "y", percent, limit) | subsets))
+    found = _links(_pairs(joined, "x.doc", "y.doc").distinct(), rows, width, percent)
+    return found, members.where("n > 0").join(classes, "sig").select("doc", "rep")
+
+
+def _prepared(docs: DataFrame, width: int, percent: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows, their classes' signatures, the classes, and the lists of the representatives."""
     rows = rows_of(docs).select("doc", "body")
     read = stored(_signatures(rows, width), "signatures")
     levels = docs.sparkSession.sparkContext.broadcast(_classes_of_frequency(read.where("kind = 1")))
+    members = read.where("kind = 0").drop("kind")
+    classes = stored(members.where("n > 0").groupBy("sig").agg(F.min("doc").alias("rep"), F.any_value("bits").alias("bits")), "classes")
+    # Always by a shuffle of the texts, however few the classes: the plan is the same at every size.
+    chosen = rows.join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
+    return rows, members.drop("bits"), classes, stored(_listed(_entries(chosen, levels, width, percent, limit)), "lists")
 
-    members = read.where("kind = 0").select("doc", "n", "sig")
-    classes = stored(members.where("n > 0").groupBy("sig").agg(F.min("doc").alias("rep")), "classes")
+
+def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> DataFrame:
+    """doc, sig, n, component for every row: the smallest doc_id that links lead to (null ids as NULL_ID)."""
+    limit = boundary(percent) if limit is None else limit
+    rows, members, classes, lists = _prepared(docs, width, percent, limit)
     several = members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc")
     own = members.join(several, "doc", "left_semi").join(classes, "sig").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
-    # Always by a shuffle of the texts, however few the classes: the plan is the same at every size.
-    chosen = rows.join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
-    lists = stored(_listed(_entries(chosen, levels, width, percent, limit)), "lists")
     first = stored(_first_pairs(lists, percent, limit), "pairs")
-    links = _links(first, rows, width, percent).unionAll(own)
-    labels = stored(components(links), "labels")
-    second = stored(_second_pairs(lists, labels, percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
+    labels = stored(components(_links(first, rows, width, percent).unionAll(own)), "labels")
+    second = stored(_second_pairs(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
     more = _links(second, rows, width, percent)
     if more.take(1):
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))

@@ -395,4 +395,17 @@ def test_mix_of_odd_rows(spark, make_docs):
     assert mixing.mix(make_docs(ODD)).count() == len(ODD)
 
 
-assert LONG
+
+
+def test_links_between_classes(spark, make_docs):
+    rows = near_copies(3)
+    found, members = jaccard.links(make_docs(rows))
+    rep = {r["doc"]: r["rep"] for r in members.collect()}
+    sets = {d: brute.shingle_set(t) for d, t in rows}
+    first = {}
+    for d in sorted(sets):
+        first.setdefault(frozenset(sets[d]), d)
+    assert rep == {d: first[frozenset(s)] for d, s in sets.items()}
+    reps = sorted(set(rep.values()))
+    want = {(a, b) for a in reps for b in reps if a > b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {(r["a"], r["b"]) for r in found.collect()} == want
