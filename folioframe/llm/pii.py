@@ -130,9 +130,9 @@ def disclosing_terms(docs: DataFrame, *, support: int = SUPPORT, generalise: flo
     n_both = each.join(small(pairs, n_pairs), ["entity", "term"], "left_semi").select("doc_id", "th", "entity", "term").distinct()
     n_both = n_both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     n_all = docs.count()
-    terms = pairs.select("term").distinct()
+    # Summed before it is joined: every word of every document is counted once, on the map side.
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))).alias("term"))
-    n_term = words.join(small(terms, n_pairs), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     entities = pairs.select("entity").distinct()
     n_entity = (
         held.select("doc_id", "th", "entity")
