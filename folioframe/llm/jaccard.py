@@ -145,6 +145,8 @@ def _classes_of_frequency(counted: DataFrame) -> np.ndarray:
 _BOTH_SMALL = -1
 #: Pairs of each document that the first scan compares; the second looks at all that are still apart.
 FIRST_PAIRS = 5
+#: Shingles by which the second scan knows pairs that it has met before in their lists.
+EARLY = 8
 
 
 def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> DataFrame:
@@ -244,16 +246,24 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     return _pairs(chosen, "me", "other").distinct()
 
 
-def _second_pairs(lists: DataFrame, labels: DataFrame, bits: DataFrame, percent: int, limit: int) -> DataFrame:
-    """The pairs of each list between different components, but for those whose parity maps differ too much to link."""
+def _second_pairs(lists: DataFrame, labels: DataFrame, bits: DataFrame, several: DataFrame, percent: int, limit: int) -> DataFrame:
+    """The pairs of each list between different components, but for those whose parity maps differ too much to link.
+
+    ``several``: documents with more than one set, whose entries can't tell where a pair was met before.
+    """
     named = lists.where("n >= 0").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     every = Window.partitionBy("tok")
     mixed_lists = named.withColumns({"lo": F.min("component").over(every), "hi": F.max("component").over(every)}).where("lo < hi").drop("lo", "hi")
-    mixed_lists = mixed_lists.join(bits, "doc")
+    # A document's first few listed shingles: a pair that shares one of them was met there already.
+    early = F.slice(F.array_sort(F.collect_list(F.struct("pos", "tok"))), 1, EARLY)
+    firsts = mixed_lists.groupBy("doc").agg(early.alias("early")).join(several.withColumn("more", F.lit(True)), "doc", "left")
+    firsts = firsts.select("doc", F.when(F.col("more"), F.slice("early", 1, 0)).otherwise(F.col("early")).alias("early"))
+    mixed_lists = mixed_lists.join(firsts, "doc").join(bits, "doc")
+    mixed_lists = mixed_lists.withColumn("before", F.expr("transform(filter(early, e -> e.pos < pos), e -> e.tok)")).drop("early")
     differ = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v)"
     near = F.expr(f"(100 + {percent}) * (x.n + y.n - {differ}) >= 2 * {percent} * (x.n + y.n)")
     x, y = mixed_lists.alias("x"), mixed_lists.alias("y")
-    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, limit) & near)
+    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, limit) & ~F.arrays_overlap("x.before", "y.before") & near)
     return _pairs(joined, "x.doc", "y.doc").distinct()
 
 
@@ -316,12 +326,12 @@ def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PER
     """doc, sig, n, component for every row: the smallest doc_id that links lead to (null ids as NULL_ID)."""
     limit = boundary(percent) if limit is None else limit
     rows, members, classes, lists = _prepared(docs, width, percent, limit)
-    several = members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc")
+    several = stored(members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc"), "several")
     own = members.join(several, "doc", "left_semi").join(classes, "sig").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
     first = stored(_first_pairs(lists, percent, limit), "pairs")
     labels = stored(components(_links(first, rows, width, percent).unionAll(own)), "labels")
-    second = stored(_second_pairs(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stored(_second_pairs(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), several, percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
     more = _links(second, rows, width, percent)
     if more.take(1):
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))

@@ -199,6 +199,26 @@ def test_components_of_odd_rows(spark, make_docs):
     assert kept.columns == make_docs(ODD).columns
 
 
+def test_rows_that_share_an_id_are_one_document(spark, make_docs):
+    rows = near_copies(5)[:200]
+    shared = [(d // 2, t) for d, t in rows]
+    alone = brute.jaccard_components(rows)
+    up = {d: d for d, _ in shared}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    first = {}
+    for d, t in rows:
+        key = alone[d][1] if brute.shingle_set(t) else ("none", d)
+        a, b = root(d // 2), root(first.setdefault(key, d // 2))
+        up[max(a, b)] = min(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(make_docs(shared)).collect()}
+    assert got == {d: root(d) for d in up}
+
+
 def test_boundary_by_cost():
     assert jaccard.boundary(list_cost=1000) > jaccard.boundary() > jaccard.boundary(list_cost=0.1)
 
