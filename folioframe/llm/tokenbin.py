@@ -43,7 +43,7 @@ END_ID = 0
 SHARD_IDS = 1 << 22
 
 #: Splits a text as the vocabulary's byte-level pre-tokenizer does, for the characters in EASY.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+PIECES = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Characters on which Python's classes and the library's might differ: such a text is given whole to the library.
 HARD = re.compile("[\x1c-\x1f\x85\xb2\xb3\xb9\xbc\xbd\xbe]|[^\x00-ɏ]")
 
