@@ -155,7 +155,7 @@ def ablation(ledger_df: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 def filter_documents(docs: DataFrame, policy: str = DEFAULT_POLICY, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the policy keeps, with the same columns; no shuffle."""
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].alias("_text"))
-    # The condition that is always true keeps the filter above the ledger: pushed into it, the
-    # filter would take every measurement again for each rule that reads it.
+    # A verdict that isn't deterministic by name keeps the filter above the ledger: pushed into it,
+    # the filter would split each text again for every rule that reads a measurement.
     kept = F.when(F.monotonically_increasing_id() >= 0, F.col("kept"))
-    return apply_policy(ledger(whole, "_row", "_text"), policy).where(kept).select("doc_id.*")
+    return apply_policy(ledger(whole, "_row", "_text"), policy).withColumn("kept", kept).where("kept").select("doc_id.*")

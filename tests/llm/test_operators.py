@@ -295,6 +295,11 @@ def test_policies_and_ablation(spark, make_docs):
     assert out.columns == make_docs(rows).columns and [r["doc_id"] for r in out.collect()] == [1]
 
 
+def test_the_filter_measures_once(make_docs):
+    plan = quality.filter_documents(make_docs([(1, "x")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
+
+
 # ---- 7 URLs ----------------------------------------------------------------------------------------
 
 URLS = [
