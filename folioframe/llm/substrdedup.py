@@ -35,6 +35,8 @@ WINDOW = 50
 RUN = 10
 #: References that one bucket may hold.
 HEAVY = 2000
+#: Rows that a Python worker expands at once.
+CHUNK = 1000
 _SEEDS = (0x51ED270B27B4F3CF, 0xD6E8FEB86659FD93)
 
 
@@ -81,11 +83,17 @@ def _references(rows: DataFrame, window: int, run_words: int) -> DataFrame:
     return rows.mapInArrow(run, "mini long, doc long, th long, first int, n int")
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, CHUNK):
+            yield batch.slice(k, CHUNK)
+
+
 def _packed(rows: DataFrame, live: DataFrame, window: int) -> DataFrame:
     """mini, doc, th, first, words: each reference with the words of its windows, joined by spaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _chunks(batches):
             take, minis, firsts, packed = [], [], [], []
             for k, (body, parts) in enumerate(zip(batch["body"].to_pylist(), batch["parts"], strict=True)):
                 words = body.split()
@@ -164,7 +172,7 @@ def _heavy_spans(packed: DataFrame, window: int) -> DataFrame:
     """The same from windows as rows, for minimisers with many references."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _chunks(batches):
             w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
             take = pa.array(owner)
             begin = (batch["first"].to_numpy()[owner] + offset).astype(np.int32)
