@@ -10,9 +10,11 @@ Sets of 5-word shingles link if their Jaccard similarity is at least ``percent``
     sketch of fixed size, of counts over all documents) and then by hash; a set is listed under
     its first n - ceil(percent * n / 100) + 1 shingles, and a pair is looked at where list positions and
     sizes still allow enough overlap.
+    A subset list of sizes n <= m pairs each entry with its first one of the smaller size: sets of n
+    and m shingles that share c(n, m) link, and so do two of n, but two of m need not.
 4.  Lists are scanned twice, so that groups of near copies never make all pairs.  The first scan
     pairs each entry with the one before it and the first of its list, compares each document's few
-    most frequent pairs exactly, and forms components.  The second compares every remaining pair of a list whose ends lie in
+    most frequent pairs and all those of subset lists exactly, and forms components.  The second compares every remaining pair of a list whose ends lie in
     different components, unless their parity maps (1024 bits a set) rule a link out.  A pair that is
     skipped has both ends in one component already or can't link, so the components are those of all links.
 
@@ -142,15 +144,16 @@ def _classes_of_frequency(counted: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-_BOTH_SMALL = -1
-#: Pairs of each document that the first scan compares; the second looks at all that are still apart.
+#: Added to a set's size in its subset entries: below 0, and the smaller set ranks first.
+_BOTH_SMALL = -(1 << 20)
+#: Pairs of each document that the first scan compares, subset pairs aside; the second looks at all that are still apart.
 FIRST_PAIRS = 5
 #: Shingles by which the second scan knows pairs that it has met before in their lists.
 EARLY = 8
 
 
 def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> DataFrame:
-    """tok, doc, n, pos: the list entries of each set, and the subsets of small ones (n = -1)."""
+    """tok, doc, n, pos: the list entries of each set, and the subsets of small ones (n + _BOTH_SMALL)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
@@ -183,7 +186,7 @@ def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> D
                     if keys:
                         keys = np.concatenate(keys)
                         toks.append(keys)
-                        sizes.append(np.full(len(keys), _BOTH_SMALL))
+                        sizes.append(np.full(len(keys), n + _BOTH_SMALL))
                         at.append(np.zeros(len(keys), np.int64))
                         take.append(np.full(len(keys), k))
             if toks:
@@ -238,11 +241,11 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     seen = lists.select(me.alias("x"), F.lag(me).over(order).alias("y"), F.first(me).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("z"))
     with_last = seen.where(_may_link("x", "y", percent, limit))
     with_first = seen.where("x.doc <> z.doc").where(_may_link("x", "z", percent, limit) | F.expr("x.n < 0 AND z.n < 0"))
-    named = lambda found, other: found.select(F.col("x.doc").alias("me"), F.col(f"{other}.doc").alias("other")).where("me <> other")
-    met = named(with_last, "y").unionAll(named(with_first, "z")).groupBy("me", "other").agg(F.count(F.lit(1)).alias("lists"))
-    # The partners met in most lists connect a group; any other pair is left to the second scan.
+    named = lambda found, other: found.select(F.col("x.doc").alias("me"), F.col(f"{other}.doc").alias("other"), F.expr("x.n < 0").alias("subset")).where("me <> other")
+    met = named(with_last, "y").unionAll(named(with_first, "z")).groupBy("me", "other").agg(F.count(F.lit(1)).alias("lists"), F.max("subset").alias("subset"))
+    # The partners met in most lists connect a group; any other pair is left to the second scan, which reads no subsets.
     likely = Window.partitionBy("me").orderBy(F.desc("lists"), "other")
-    chosen = met.withColumn("k", F.row_number().over(likely)).where(F.col("k") <= FIRST_PAIRS)
+    chosen = met.withColumn("k", F.row_number().over(likely)).where((F.col("k") <= FIRST_PAIRS) | F.col("subset"))
     return _pairs(chosen, "me", "other").distinct()
 
 

@@ -183,6 +183,17 @@ def test_components(spark, make_docs, seed, limit):
     assert got == brute.jaccard_components(rows)
 
 
+def test_components_of_small_sets_in_one_subset_list(spark, make_docs):
+    """Two larger sets don't link with each other but with the smaller one, whatever the order of ids; a set of 6 has 6 such lists."""
+    rows = [(1, "a b c d e f g h i x"), (2, "a b c d e f g h i y"), (3, "a b c d e f g h i")]
+    # A cycle of 6 words has 6 different shingles, and each 9 words of it have 5 of them: six sets of 5 in one of 6.
+    cycle = "p q r s t u".split() * 3
+    rows += [(10 + k, " ".join(cycle[k : k + 9])) for k in range(6)] + [(20, " ".join(cycle[:10]))]
+    got = by_id(jaccard.join(make_docs(rows)), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows)
+    assert [got[k][1] for k in (1, 2, 3, 10, 15, 20)] == [1, 1, 1, 10, 10, 10]
+
+
 def test_components_of_a_large_group(spark, make_docs):
     base = words(3, 120)
     rows = [(k, " ".join([*base[: k % 100], f"x{k}", *base[k % 100 + 1 :]])) for k in range(150)] + [(1000 + k, " ".join(words(k, 40))) for k in range(50)]
