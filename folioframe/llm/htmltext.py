@@ -5,6 +5,9 @@ density, those of the blocks before and after it, and where it stands (inside th
 navigation, advert, form or comment container, in a heading).  A decision tree, trained on the small
 labelled table below, says which blocks are main text.
 
+What is no text is skipped up to its own end tag, whatever markup its content looks like.  A head
+needs no end tag: its elements hold no text, and text in it belongs to the body, as in a browser.
+
 Edge cases: null or empty html gives an empty text.  Cut-off pages and unclosed tags are read as far
 as they go.  Repeated pages get equal results.  An empty table gives none.
 """
@@ -30,7 +33,9 @@ _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
 #: Elements whose content is no text.
-RAW = frozenset("script style noscript template iframe svg math canvas object select textarea button head title video audio".split())
+RAW = frozenset("script style noscript noframes template iframe svg math canvas object select textarea button title video audio".split())
+#: Those of them whose content is no markup: it ends at the first end tag of their name.
+PLAIN = frozenset("script style noscript noframes iframe textarea title".split())
 #: Void elements have no end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that start a new block.
@@ -49,6 +54,37 @@ HINTS = frozenset(
 )
 
 
+_SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.IGNORECASE)
+
+
+@lru_cache(maxsize=64)
+def _end_tag(tag: str) -> re.Pattern:
+    """The end tag of an element without text; in one that holds markup, what may only look like it is passed over."""
+    own = rf"</{tag}(?=[\s/>])"
+    passed = "" if tag in PLAIN else r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style)(?=[\s/>]).*?(?:</(?P=raw)(?=[\s/>])|\Z)|<[a-z](?:[^<>=]|=\s*(?:"[^"]*"|'[^']*')?)*+>|"""
+    return re.compile(f"{passed}(?P<own>{own})", re.DOTALL | re.IGNORECASE)
+
+
+def _skipped(html: str, tag: str, at: int) -> int:
+    """Where the end tag of an element without text starts, or the end of the page."""
+    if tag == "script":
+        state = 0  # 1: after <!--, 2: in a script element written there, whose end tag doesn't count
+        while m := _SCRIPT.search(html, at):
+            at, what = m.end(), m[0]
+            if what == "<!--":
+                state, at = max(state, 1), at - 2  # its dashes may close it: <!-->
+            elif what == "-->":
+                state = 0
+            elif not m[1]:
+                state = 2 if state else 0
+            elif state == 2:
+                state = 1
+            else:
+                return m.start()
+        return len(html)
+    return next((m.start() for m in _end_tag(tag).finditer(html, at) if m["own"]), len(html))
+
+
 @dataclass
 class Block:
     text: str
@@ -71,7 +107,7 @@ def blocks_of(html: str | None) -> list[Block]:
     in_link = 0
     inside = boiler = heading = False
     html = html or ""
-    at, raw = 0, ""
+    at = 0
 
     def flush() -> None:
         nonlocal parts, linked
@@ -86,8 +122,8 @@ def blocks_of(html: str | None) -> list[Block]:
         nonlocal inside, boiler
         inside, boiler = any(x[1] for x in stack), any(x[2] for x in stack)
 
-    for m in _MARKUP.finditer(html):
-        if m.start() > at and not raw:
+    while m := _MARKUP.search(html, at):
+        if m.start() > at:
             piece = html[at : m.start()]
             parts.append(piece)
             if in_link:
@@ -99,14 +135,13 @@ def blocks_of(html: str | None) -> list[Block]:
             if tag is None:
                 continue
         tag = tag.lower()
-        if raw:
-            if close and tag == raw:
-                raw = ""
+        if tag == "head":
+            flush()
             continue
         if tag in RAW:
             if not close and not attributes.endswith("/"):
-                raw = tag
-                flush() if tag in ("head", "title") else parts.append(" ")
+                at = _skipped(html, tag, at)
+                flush() if tag == "title" else parts.append(" ")
             continue
         if tag == "br":
             parts.append(" ")
@@ -139,7 +174,7 @@ def blocks_of(html: str | None) -> list[Block]:
                         flush()
                     stack.append((tag, article, bad))
                     stand()
-    if not raw and at < len(html):
+    if at < len(html):
         rest = html[at:]
         cut = rest.rfind("<")
         parts.append(rest[:cut] if cut >= 0 and re.match(r"</?[a-zA-Z!]?[^>]*\Z", rest[cut:]) and re.match(r"</?(?:[a-zA-Z!]|\Z)", rest[cut:]) else rest)

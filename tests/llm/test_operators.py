@@ -261,6 +261,31 @@ def test_plain_page_and_broken_pages():
     assert htmltext.main_text("<article>" + "<div>" * 3000 + "deep text that goes on" + "</div>" * 10) == "deep text that goes on"
 
 
+@pytest.mark.parametrize(
+    "skipped",
+    [
+        "<script>for(var i=0;i<n;i++){x[i]=1}</script>",
+        "<script>if(a<b)c='it';</SCRIPT >",
+        "<script><!-- var a = '<script>no</script>' --></script>",
+        "<script><!--> no </script>",
+        "<script><!-- no </script>",
+        "<style>a<b{}</style>",
+        "<svg><!-- </svg> --><script>a<b</script><text x='</svg>'>no</text></svg>",
+        "<button title='a>b'>1<2</button>",
+        "<template><script>'</template>'</script>no</template>",
+    ],
+)
+def test_elements_without_text_end_at_their_own_end_tag(skipped):
+    assert htmltext.main_text(f"<body>{skipped}<article><p>the whole article is here</article></body>") == "the whole article is here"
+    assert htmltext.main_text(f"<article><p>the whole {skipped} article is here</article>") == "the whole article is here"
+
+
+@pytest.mark.parametrize("start", ["<body>", "<article>", "<p>"])
+def test_a_head_needs_no_end_tag(start):
+    page = f"<html><head><meta charset=utf-8><title>No</title><script>a<b</script>{start}<article><p>the whole article is here</article>"
+    assert htmltext.main_text(page) == "the whole article is here"
+
+
 def test_tree_learns_its_table():
     x, y = htmltext.labelled()
     assert ((htmltext.trained().predict(x) >= 0.5) == y).all()
