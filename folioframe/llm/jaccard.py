@@ -14,14 +14,27 @@ Sets of 5-word shingles link if their Jaccard similarity is at least ``percent``
     and m shingles that share c(n, m) link, and so do two of n, but two of m need not.
 4.  Lists are scanned twice, so that groups of near copies never make all pairs.  The first scan
     pairs each entry with the one before it and the first of its list, compares each document's few
-    most frequent pairs and all those of subset lists exactly, and forms components.  The second compares every remaining pair of a list whose ends lie in
-    different components, unless their parity maps (1024 bits a set) rule a link out.  A pair that is
-    skipped has both ends in one component already or can't link, so the components are those of all links.
+    most frequent pairs and all those of subset lists exactly, and forms components.  The second
+    compares every remaining pair of a list whose ends lie in different components, unless their
+    parity maps (1024 bits a set) rule a link out.  A pair that is skipped has both ends in one
+    component already or can't link, so the components are those of all links.
+5.  The second scan joins a list's index entries with its probes.  In a pair that links, the smaller
+    set holds the first common shingle so early that c(n, n) more can follow: those are its index
+    entries, a seventh of the set.  Pages that share a template, but too little of it to link, have
+    it behind their own words, and so no index entry in its lists.  Sizes meet by class, and entries
+    of a list's largest component meet only those of others.
+
+Hot lists: the sketch tells an upper bound of a list's length.  A list that may exceed ``hot`` entries
+is dealt over as many tasks as it needs.  The entry before is then that of the same part, the first
+entry that of the whole list, from an aggregation with sums before the shuffle.
 
 Edge cases: a null or empty text has an empty set, linked with nothing.  A text of fewer than five
-words is one shingle of its own kind.  A null doc_id ranks last: it is the component's id only where
-no other is.  Rows that share a doc_id count as one document, linked to what any of them links to.
-Repeated rows get equal results.  An empty table gives none.
+words is one shingle of its own kind.  Very long texts are read whole; a worker holds one batch of
+texts and one text's set.  A null doc_id ranks last: it is the component's id only where no other is.
+In ``join`` rows that share a doc_id count as one document, linked to what any of them links to; in
+``keep_first`` they are rows of their own.  Repeated rows get equal results and are compared once.
+Ties of frequency are broken by hash, equal sets by the smaller doc_id.  Columns of any other name
+are not read, and ``keep_first`` passes them on.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -36,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, WORD_PATTERN, gram_hashes, id_back, mixed, rows_of, signed, small, stored, word_hashes
+from .common import NULL_ID, WORD_PATTERN, drop_path, gram_hashes, id_back, id_of, mixed, rows_of, signed, small, stored, text_of, word_hashes
 from .components import components
 
 SHINGLE = 5
@@ -150,24 +163,33 @@ _BOTH_SMALL = -(1 << 20)
 FIRST_PAIRS = 5
 #: Shingles by which the second scan knows pairs that it has met before in their lists.
 EARLY = 8
+#: Entries of a list that one task may take.
+HOT = 10_000
 
 
-def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> DataFrame:
-    """tok, doc, n, pos: the list entries of each set, and the subsets of small ones (n + _BOTH_SMALL)."""
+def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int, hot: int) -> DataFrame:
+    """tok, part, doc, n, pos: the list entries of each set, and the subsets of small ones (n + _BOTH_SMALL).
+
+    ``part`` is -1, or the part of a hot list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
+        # Parts of a list by the level of its rarest shingle: a list is no longer than that shingle is frequent.
+        parts = np.ceil(np.exp2((np.arange(256) + 0.5) / 6) / hot).astype(np.int64)
         for batch in batches:
-            toks, sizes, at, take = [], [], [], []
+            toks, sizes, at, take, split = [], [], [], [], []
             for k, body in enumerate(batch["body"].to_pylist()):
                 s = shingles(body, width)
                 n = len(s)
                 if not n:
                     continue
                 prefix = n - -(-percent * n // 100) + 1
-                order = np.lexsort((s, level[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]))
-                s = s[order]
+                rank = level[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                order = np.lexsort((s, rank))
+                s, rank = s[order], rank[order]
                 toks.append(s[:prefix])
+                split.append(parts[rank[:prefix]])
                 sizes.append(np.full(prefix, n))
                 at.append(np.arange(prefix))
                 take.append(np.full(prefix, k))
@@ -177,12 +199,13 @@ def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> D
                         c = overlap_needed(n, m, percent)
                         if 100 * min(n, m) >= percent * max(n, m) and c <= min(n, m):
                             salt = np.uint64((min(n, m) * 1000 + max(n, m)) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-                            ranked = np.sort(s)
-                            picks = np.array(list(combinations(range(n), c)))
+                            by_hash = np.argsort(s)
+                            picks = by_hash[np.array(list(combinations(range(n), c)))]
                             h = np.full(len(picks), salt)
                             for j in range(c):
-                                h = mixed(h ^ ranked[picks[:, j]])
+                                h = mixed(h ^ s[picks[:, j]])
                             keys.append(h)
+                            split.append(parts[rank[picks].min(axis=1)])
                     if keys:
                         keys = np.concatenate(keys)
                         toks.append(keys)
@@ -190,17 +213,28 @@ def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int) -> D
                         at.append(np.zeros(len(keys), np.int64))
                         take.append(np.full(len(keys), k))
             if toks:
+                at_row, split = np.concatenate(take), np.concatenate(split)
+                dealt = mixed(batch["doc"].to_numpy().view(np.uint64))[at_row] % split.astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(toks))), batch["doc"].take(pa.array(np.concatenate(take))), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(at).astype(np.int32))],
-                    names=["tok", "doc", "n", "pos"],
+                    [
+                        pa.array(signed(np.concatenate(toks))),
+                        pa.array(np.where(split > 1, dealt.astype(np.int64), -1).astype(np.int32)),
+                        batch["doc"].take(pa.array(at_row)),
+                        pa.array(np.concatenate(sizes).astype(np.int32)),
+                        pa.array(np.concatenate(at).astype(np.int32)),
+                    ],
+                    names=["tok", "part", "doc", "n", "pos"],
                 )
 
-    return rows.mapInArrow(run, "tok long, doc long, n int, pos int")
+    return rows.mapInArrow(run, _ENTRY)
+
+
+_ENTRY = "tok long, part int, doc long, n int, pos int"
 
 
 def _listed(entries: DataFrame) -> DataFrame:
-    """The entries of lists with two entries or more.  Sorted partitions are streamed; no list is held."""
-    names = ["tok", "doc", "n", "pos"]
+    """The entries of hot lists and of those with two entries or more.  Sorted partitions are streamed; no list is held."""
+    names = ["tok", "part", "doc", "n", "pos"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the last entry, which the next batch decides
@@ -210,16 +244,16 @@ def _listed(entries: DataFrame) -> DataFrame:
                 continue
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            tok = batch["tok"].to_numpy()
-            like_next = tok[1:] == tok[:-1]
-            like_last = np.concatenate([[met], like_next])
+            tok, part = batch["tok"].to_numpy(), batch["part"].to_numpy()
+            like_next = (tok[1:] == tok[:-1]) & (part[1:] == part[:-1])
+            like_last = np.concatenate([[met], like_next]) | (part >= 0)
             keep = np.flatnonzero(like_last[:-1] | like_next)
             yield batch.take(pa.array(keep))
             held, met = batch.slice(len(tok) - 1), bool(like_last[-1])
         if held is not None and met:
             yield held
 
-    return entries.repartition("tok").sortWithinPartitions("tok").select(*names).mapInArrow(run, "tok long, doc long, n int, pos int")
+    return entries.repartition("tok", "part").sortWithinPartitions("tok", "part").select(*names).mapInArrow(run, _ENTRY)
 
 
 def _may_link(x: str, y: str, percent: int, limit: int) -> Column:
@@ -236,11 +270,15 @@ def _pairs(found: DataFrame, a: str, b: str) -> DataFrame:
 
 def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     """Each entry with the first of its list and the one before it: twice the entries, not their square."""
-    order = Window.partitionBy("tok").orderBy("n", "doc")
-    me = F.struct("doc", "n", "pos")
-    seen = lists.select(me.alias("x"), F.lag(me).over(order).alias("y"), F.first(me).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("z"))
+    order = Window.partitionBy("tok", "part").orderBy("n", "doc")
+    me = F.struct("n", "doc", "pos")
+    seen = lists.select("tok", "part", me.alias("x"), F.lag(me).over(order).alias("y"), F.first(me).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("z"))
     with_last = seen.where(_may_link("x", "y", percent, limit))
-    with_first = seen.where("x.doc <> z.doc").where(_may_link("x", "z", percent, limit) | F.expr("x.n < 0 AND z.n < 0"))
+    # A hot list's first entry is the least of all its parts; stored, the join can split what is skewed.
+    hot = lists.where("part >= 0").select("tok", me.alias("x"))
+    least = stored(hot.groupBy("tok").agg(F.min("x").alias("z")), "firsts")
+    first = seen.where("part < 0").select("x", "z").unionAll(hot.join(small(least, least.count()), "tok").select("x", "z"))
+    with_first = first.where("x.doc <> z.doc").where(_may_link("x", "z", percent, limit) | F.expr("x.n < 0 AND z.n < 0"))
     named = lambda found, other: found.select(F.col("x.doc").alias("me"), F.col(f"{other}.doc").alias("other"), F.expr("x.n < 0").alias("subset")).where("me <> other")
     met = named(with_last, "y").unionAll(named(with_first, "z")).groupBy("me", "other").agg(F.count(F.lit(1)).alias("lists"), F.max("subset").alias("subset"))
     # The partners met in most lists connect a group; any other pair is left to the second scan, which reads no subsets.
@@ -249,24 +287,43 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     return _pairs(chosen, "me", "other").distinct()
 
 
-def _second_pairs(lists: DataFrame, labels: DataFrame, bits: DataFrame, several: DataFrame, percent: int, limit: int) -> DataFrame:
-    """The pairs of each list between different components, but for those whose parity maps differ too much to link.
+def _size_class(n: str, percent: int) -> Column:
+    """Sets that may link are of one class or of two neighbouring ones; the base leaves room for rounding."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(101 / percent))).cast("int")
 
-    ``several``: documents with more than one set, whose entries can't tell where a pair was met before.
+
+def _mixed_entries(lists: DataFrame, labels: DataFrame, bits: DataFrame, several: DataFrame) -> DataFrame:
+    """The entries of lists that meet two components, with component, major, bits and before.
+
+    ``major`` marks those of the list's largest component; ``before`` has the first few listed
+    shingles of the document that come before this one: a pair that shares one of them was met there.
+    ``several``: documents with more than one set, whose entries can't tell.
     """
-    named = lists.where("n >= 0").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    every = Window.partitionBy("tok")
-    mixed_lists = named.withColumns({"lo": F.min("component").over(every), "hi": F.max("component").over(every)}).where("lo < hi").drop("lo", "hi")
-    # A document's first few listed shingles: a pair that shares one of them was met there already.
+    named = lists.where("n >= 0").drop("part").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    named = stored(named.withColumn("component", F.coalesce("component", "doc")), "named")
+    sums = named.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("k"))
+    tops = sums.groupBy("tok").agg(F.count(F.lit(1)).alias("components"), F.max(F.struct("k", "component")).alias("top")).where("components > 1")
+    tops = stored(tops.select("tok", F.col("top.component").alias("top")), "mixed")
+    found = stored(named.join(small(tops, tops.count()), "tok").withColumn("major", F.col("component") == F.col("top")).drop("top"), "entries")
     early = F.slice(F.array_sort(F.collect_list(F.struct("pos", "tok"))), 1, EARLY)
-    firsts = mixed_lists.groupBy("doc").agg(early.alias("early")).join(several.withColumn("more", F.lit(True)), "doc", "left")
+    firsts = found.groupBy("doc").agg(early.alias("early")).join(several.withColumn("more", F.lit(True)), "doc", "left")
     firsts = firsts.select("doc", F.when(F.col("more"), F.slice("early", 1, 0)).otherwise(F.col("early")).alias("early"))
-    mixed_lists = mixed_lists.join(firsts, "doc").join(bits, "doc")
-    mixed_lists = mixed_lists.withColumn("before", F.expr("transform(filter(early, e -> e.pos < pos), e -> e.tok)")).drop("early")
+    found = found.join(firsts, "doc").join(bits, "doc")
+    return stored(found.withColumn("before", F.expr("transform(filter(early, e -> e.pos < pos), e -> e.tok)")).drop("early"), "entries")
+
+
+def _second_pairs(entries: DataFrame, percent: int, limit: int) -> DataFrame:
+    """The pairs of each list between different components, but for those whose parity maps differ too much to link."""
     differ = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v)"
     near = F.expr(f"(100 + {percent}) * (x.n + y.n - {differ}) >= 2 * {percent} * (x.n + y.n)")
-    x, y = mixed_lists.alias("x"), mixed_lists.alias("y")
-    joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent, limit) & ~F.arrays_overlap("x.before", "y.before") & near)
+    own = _size_class("n", percent)
+    # Side 1 holds all entries, side 2 those outside the list's largest component.
+    index = entries.where(f"(100 + {percent}) * (n - pos) >= 2 * {percent} * n")
+    x = index.withColumn("side", F.when(F.col("major"), 2).otherwise(1)).withColumn("class", F.explode(F.array(own, own + 1))).alias("x")
+    y = entries.withColumn("side", F.explode(F.when(F.col("major"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2))))).withColumn("class", own).alias("y")
+    same_list = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.class") == F.col("y.class")) & (F.col("x.side") == F.col("y.side"))
+    smaller = F.expr("x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.doc < y.doc)")
+    joined = x.join(y, same_list & smaller & _may_link("x", "y", percent, limit) & ~F.arrays_overlap("x.before", "y.before") & near)
     return _pairs(joined, "x.doc", "y.doc").distinct()
 
 
@@ -276,9 +333,11 @@ def _links(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataF
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array([zlib.compress(b, 1) for b in batch["body"].to_pylist()], pa.binary())], names=["doc", "z"])
+            yield pa.RecordBatch.from_arrays([batch["doc"], batch["th"], pa.array([zlib.compress(b, 1) for b in batch["body"].to_pylist()], pa.binary())], names=["doc", "th", "z"])
 
-    content = rows.select("doc", "body").join(small(ids, ids.count()), "doc", "left_semi").mapInArrow(squeeze, "doc long, z binary")
+    content = rows.join(small(ids, ids.count()), "doc", "left_semi").mapInArrow(squeeze, "doc long, th long, z binary")
+    # Each text once, however often its row is repeated.
+    content = stored(content.dropDuplicates(["doc", "th"]).select("doc", "z"), "content")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, y = None, None
@@ -295,17 +354,19 @@ def _links(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataF
 
     left = pairs.join(content.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
     both = left.join(content.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b").select("a", "b", "za", "zb")
-    return stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
+    found = stored(both.mapInArrow(compare, "a long, b long").distinct(), "links")
+    drop_path(rows.sparkSession, content._scratch)
+    return found
 
 
-def links(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """All links a > b between class representatives, and the membership (doc, rep) of every row with words.
 
     For those who need the links themselves: there are as many as there are, in a group of near
     copies about the square of its size.  Components don't need them, see ``near_components``.
     """
     limit = boundary(percent) if limit is None else limit
-    rows, members, classes, lists = _prepared(docs, width, percent, limit)
+    rows, members, classes, lists = _prepared(docs, width, percent, limit, hot)
     x, y = lists.alias("x"), lists.alias("y")
     subsets = F.expr("x.n < 0 AND y.n < 0")
     joined = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.doc") > F.col("y.doc")) & (_may_link("x", "y", percent, limit) | subsets))
@@ -313,28 +374,30 @@ def links(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limi
     return found, members.where("n > 0").join(classes, "sig").select("doc", "rep")
 
 
-def _prepared(docs: DataFrame, width: int, percent: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _prepared(docs: DataFrame, width: int, percent: int, limit: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The rows, their classes' signatures, the classes, and the lists of the representatives."""
-    rows = rows_of(docs).select("doc", "body")
-    read = stored(_signatures(rows, width), "signatures")
+    rows = rows_of(docs)
+    read = stored(_signatures(rows.select("doc", "body"), width), "signatures")
     levels = docs.sparkSession.sparkContext.broadcast(_classes_of_frequency(read.where("kind = 1")))
     members = read.where("kind = 0").drop("kind")
     classes = stored(members.where("n > 0").groupBy("sig").agg(F.min("doc").alias("rep"), F.any_value("bits").alias("bits")), "classes")
     # Always by a shuffle of the texts, however few the classes: the plan is the same at every size.
-    chosen = rows.join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
-    return rows, members.drop("bits"), classes, stored(_listed(_entries(chosen, levels, width, percent, limit)), "lists")
+    chosen = rows.select("doc", "body").join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
+    return rows, members.drop("bits"), classes, stored(_listed(_entries(chosen, levels, width, percent, limit, hot)), "lists")
 
 
-def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None) -> DataFrame:
+def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PERCENT, limit: int | None = None, hot: int = HOT) -> DataFrame:
     """doc, sig, n, component for every row: the smallest doc_id that links lead to (null ids as NULL_ID)."""
     limit = boundary(percent) if limit is None else limit
-    rows, members, classes, lists = _prepared(docs, width, percent, limit)
+    rows, members, classes, lists = _prepared(docs, width, percent, limit, hot)
     several = stored(members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc"), "several")
     own = members.join(several, "doc", "left_semi").join(classes, "sig").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
     first = stored(_first_pairs(lists, percent, limit), "pairs")
     labels = stored(components(_links(first, rows, width, percent).unionAll(own)), "labels")
-    second = stored(_second_pairs(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), several, percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
+    entries = _mixed_entries(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), several)
+    drop_path(docs.sparkSession, lists._scratch)
+    second = stored(_second_pairs(entries, percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
     more = _links(second, rows, width, percent)
     if more.take(1):
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
@@ -350,16 +413,25 @@ def join(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One row of each component: that of its smallest doc_id, with the columns of ``docs``.
+    """One row of each component: that of its smallest doc_id, null last, with the columns of ``docs``.
 
-    Of rows that share this doc_id the one with the smallest text hash stays.  Rows without words all stay.
+    A row is named by its doc_id, or where that is null or has several texts, by a hash of both: only
+    rows whose texts link or are equal make a component.  Of rows that agree in id and text one stays.
+    Rows without words all stay.
     """
-    found = near_components(docs, **options)
-    lone = F.col("n") == 0
-    stay = found.where((F.col("component") == F.col("doc")) & ~lone).select("doc").distinct()
-    body = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    row = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("doc"), F.struct(*[docs[c] for c in docs.columns]).alias("row"), body.rlike(WORD_PATTERN).alias("worded"))
-    empty = row.where("NOT worded").select("row.*")
-    kept = row.where("worded").join(stay, "doc", "left_semi")
-    order = Window.partitionBy("doc").orderBy(F.xxhash64(kept["row"]["text"]), F.hash(kept["row"]))
-    return kept.withColumn("_k", F.row_number().over(order)).where("_k = 1").select("row.*").unionAll(empty)
+    doc, body = id_of(docs), text_of(docs)
+    named = docs.select(doc.alias("real"), F.xxhash64(body).alias("th"))
+    shared = named.groupBy("real").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where(f"lo < hi OR real = {NULL_ID}")
+    shared = stored(shared.select("real"), "shared-ids")
+    mark = small(shared.select("real", F.lit(True).alias("shared")), shared.count())
+    row = docs.select(doc.alias("real"), F.struct(*[docs[c] for c in docs.columns]).alias("row"), body.alias("text"), body.rlike(WORD_PATTERN).alias("worded")).join(mark, "real", "left")
+    row = row.withColumn("doc_id", F.when(F.col("shared"), F.xxhash64("real", "text")).otherwise(F.col("real")))
+    worded = row.where("worded")
+    found = near_components(worded.select("doc_id", "text"), **options)
+    # The ids that stand behind hashes rank by themselves.
+    behind = worded.where("shared").select(F.col("doc_id").alias("doc"), "real").distinct()
+    ranked = found.select("doc", "component").distinct().join(behind, "doc", "left")
+    stay = ranked.groupBy("component").agg(F.min(F.struct(F.coalesce("real", "doc"), "doc")).alias("first")).select(F.col("first.doc").alias("doc_id"))
+    order = Window.partitionBy("doc_id").orderBy(F.hash("row"))
+    kept = worded.select("doc_id", "row").join(stay, "doc_id", "left_semi").withColumn("_k", F.row_number().over(order)).where("_k = 1")
+    return kept.select("row.*").unionAll(row.where("NOT worded").select("row.*"))

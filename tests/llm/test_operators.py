@@ -194,6 +194,76 @@ def test_components_of_small_sets_in_one_subset_list(spark, make_docs):
     assert [got[k][1] for k in (1, 2, 3, 10, 15, 20)] == [1, 1, 1, 10, 10, 10]
 
 
+def end_variants(seed, groups=250):
+    """Short texts in groups that differ at their ends, so that many are prefixes or suffixes of others."""
+    r = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        base = words(r.random(), r.randrange(5, 15), 90)
+        for _ in range(6):
+            copy = base[r.randrange(2) : len(base) - r.randrange(2)]
+            copy = words(r.random(), r.randrange(2), 90) + copy + words(r.random(), r.randrange(2), 90)
+            rows.append(" ".join(copy))
+    ids = list(range(len(rows)))
+    r.shuffle(ids)
+    return list(zip(ids, rows, strict=True))
+
+
+@pytest.mark.parametrize(("seed", "limit", "hot"), [(1, None, 10_000), (2, None, 2), (3, 0, 3), (4, 3, 10_000), (5, 6, 2), (6, 9, 4)])
+def test_components_of_short_texts(spark, make_docs, seed, limit, hot):
+    rows = end_variants(seed)
+    got = by_id(jaccard.join(make_docs(rows), limit=limit, hot=hot), "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows)
+
+
+def test_components_are_those_of_the_links(spark, make_docs):
+    rows = end_variants(7, 60) + [(1000 + d, t) for d, t in near_copies(8)]
+    found, members = jaccard.links(make_docs(rows), hot=3)
+    up = {r["doc"]: r["rep"] for r in members.collect()}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for r in found.collect():
+        a, b = root(r["a"]), root(r["b"])
+        up[max(a, b)] = min(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(make_docs(rows)).collect()}
+    assert got == {d: root(d) for d in up}
+
+
+def test_small_sets_in_any_order_of_ids(spark, make_docs):
+    from itertools import permutations
+
+    texts = ("a b c d e f g x", "a b c d e f g y", "a b c d e f g")
+    rows = [(10 * k + d, " ".join(f"{w}{k}" for w in t.split())) for k, order in enumerate(permutations((1, 2, 3))) for d, t in zip(order, texts, strict=True)]
+    assert {r["component_id"] for r in jaccard.join(make_docs(rows)).collect()} == {10 * k + 1 for k in range(6)}
+    assert sorted(r["doc_id"] for r in jaccard.keep_first(make_docs(rows)).collect()) == [10 * k + 1 for k in range(6)]
+
+
+@pytest.mark.parametrize("hot", [10_000, 20])
+def test_pages_of_one_template(spark, make_docs, hot):
+    """A shingle in every document, sets that share two thirds with all others, and copies of some."""
+    template = words(4, 60)
+    rows = [(k, " ".join([*words(k % 280 + 100, 22 + k % 5, 10**6), *template, *words(k, k % 2)])) for k in range(300)]
+    assert by_id(jaccard.join(make_docs(rows), hot=hot), "n_shingles", "component_id") == brute.jaccard_components(rows)
+
+
+def test_texts_are_compared_once_however_often_repeated(spark, make_docs):
+    rows = [(k % 4, " ".join(words(1, 60)[k % 4 :])) for k in range(200)]
+    got = jaccard.join(make_docs(rows)).collect()
+    assert len(got) == 200 and {r["component_id"] for r in got} == {0}
+
+
+def test_only_texts_that_link_are_merged(spark, make_docs):
+    """Null and repeated ids don't make documents one in the filter."""
+    one, two, three = (" ".join(words(k, 30)) for k in (1, 2, 3))
+    rows = [(None, one), (None, two), (None, two), (7, one), (7, three), (7, three), (9, three), (3, "")]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_first(make_docs(rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(7, one), (None, two), (7, three), (3, "")], key=repr)
+
+
 def test_components_of_a_large_group(spark, make_docs):
     base = words(3, 120)
     rows = [(k, " ".join([*base[: k % 100], f"x{k}", *base[k % 100 + 1 :]])) for k in range(150)] + [(1000 + k, " ".join(words(k, 40))) for k in range(50)]
