@@ -4,18 +4,25 @@ A window's minimiser is the smallest hash among its runs of 10 words.  Consecuti
 a minimiser form a super-k-mer.  Equal windows have equal minimisers, so only super-k-mers with the
 same minimiser need to meet:
 
-1.  Each document gives one small reference for each super-k-mer; references are counted by
-    minimiser, and those whose minimiser lies in one document only can repeat nothing.
-2.  The others travel to their minimiser's bucket, each as one packed string of its words.  A
-    bucket's windows are sorted, and a window is removable in every document but the smallest.
-3.  A minimiser with more than ``heavy`` references would be a bucket too large for a task.  Its
-    windows are counted as rows instead, with sums before the shuffle and a join Spark can split.
-
-Words are compared by 64-bit hashes and windows by two independent 64-bit hashes of these.
-
-Edge cases: a null or empty text has no words.  Texts of fewer than 50 words have no window.  A null
-doc_id ranks last.  Rows that share a doc_id count as one document, so they never remove from each
-other.  Repeated rows lose the same words.  An empty table gives none.
+1.  Each document gives one small reference for each super-k-mer: its minimiser, a hash of its words
+    and its place.  References whose minimiser lies in one document only can repeat nothing.
+2.  Equal super-k-mers need no text: all but the one in the smallest document are removed whole, by
+    sums before the shuffle.  So copies of a document or passage meet as one string, however many.
+3.  The different strings of a minimiser travel to its bucket, each as one packed string of its
+    words, from the smallest document that holds it.  A bucket's windows are sorted, and a window is
+    removable in every document but the smallest.
+4.  A minimiser whose strings hold more than ``bucket_words`` words would be a bucket too large for a
+    task.  Its strings are dealt over many tasks, and their windows are counted as rows instead, with
+    sums before the shuffle and a join whose skewed partitions Spark can split.
+
+Words are compared by 64-bit hashes, windows by two independent 64-bit hashes of these, super-k-mers
+by their minimiser and one such hash.
+
+Edge cases: a null or empty text has no words.  Texts of fewer than 50 words have no window.  Very
+long texts are read whole; a worker holds one text's words and about a megabyte of packed strings.
+A null doc_id ranks last.  Rows that share a doc_id count as one document, so they never remove from
+each other.  Repeated rows lose the same words, and travel once.  Ties of minimisers need no rule, since
+equal windows have equal ones.  Columns of any other name are not read.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -25,18 +32,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, id_back, rows_of, signed, word_hashes
+from .common import drop_path, gram_hashes, id_back, rows_of, signed, small, stored, word_hashes
 
 WINDOW = 50
 #: Words in a run whose hash may be the minimiser.
 RUN = 10
-#: References that one bucket may hold.
-HEAVY = 2000
-#: Rows that a Python worker expands at once.
-CHUNK = 1000
+#: Words that one bucket may hold; beyond it, words that one part of it may hold.
+BUCKET_WORDS = 20_000
+#: Bytes of packed strings that a Python worker expands at once.
+CHUNK = 1 << 20
 _SEEDS = (0x51ED270B27B4F3CF, 0xD6E8FEB86659FD93)
 
 
@@ -59,12 +67,19 @@ def super_kmers(hashes: np.ndarray, window: int = WINDOW, run: int = RUN) -> tup
 
 
 def _references(rows: DataFrame, window: int, run_words: int) -> DataFrame:
+    """mini, sh, doc, th, first, n: each super-k-mer, with a hash of its words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_64_intdigest
+
         for batch in batches:
-            minis, firsts, counts, take = [], [], [], []
+            minis, hashes, firsts, counts, take = [], [], [], [], []
             for k, body in enumerate(batch["body"].to_pylist()):
-                mini, first, count = super_kmers(word_hashes(body.split()), window, run_words)
+                words = word_hashes(body.split())
+                mini, first, count = super_kmers(words, window, run_words)
+                raw = memoryview(words).cast("B")
                 minis.append(mini)
+                hashes += [xxh3_64_intdigest(raw[8 * a : 8 * b]) for a, b in zip(first.tolist(), (first + count + window - 1).tolist(), strict=True)]
                 firsts.append(first)
                 counts.append(count)
                 take.append(np.full(len(mini), k))
@@ -72,45 +87,61 @@ def _references(rows: DataFrame, window: int, run_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(np.concatenate([*minis, np.empty(0, np.uint64)]))),
+                    pa.array(signed(np.array(hashes, np.uint64))),
                     batch["doc"].take(at),
                     batch["th"].take(at),
                     pa.array(np.concatenate([*firsts, np.empty(0, np.int64)]).astype(np.int32)),
                     pa.array(np.concatenate([*counts, np.empty(0, np.int64)]).astype(np.int32)),
                 ],
-                names=["mini", "doc", "th", "first", "n"],
+                names=["mini", "sh", "doc", "th", "first", "n"],
             )
 
-    return rows.mapInArrow(run, "mini long, doc long, th long, first int, n int")
+    return rows.mapInArrow(run, "mini long, sh long, doc long, th long, first int, n int")
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, batch.num_rows, CHUNK):
-            yield batch.slice(k, CHUNK)
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of packed strings of about CHUNK bytes, or of one string that is longer."""
+    size = np.cumsum(pc.binary_length(batch["words"]).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + CHUNK, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
-def _packed(rows: DataFrame, live: DataFrame, window: int) -> DataFrame:
-    """mini, doc, th, first, words: each reference with the words of its windows, joined by spaces."""
+def _packed(rows: DataFrame, strings: DataFrame, window: int) -> DataFrame:
+    """mini, part, doc, th, first, words: each of ``strings`` with its words, joined by spaces.
+
+    Texts meet their strings in order of (doc, th), so copies of a row are told from the row before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
-            take, minis, firsts, packed = [], [], [], []
-            for k, (body, parts) in enumerate(zip(batch["body"].to_pylist(), batch["parts"], strict=True)):
-                words = body.split()
-                fields = [parts.values.field(c).to_numpy() for c in ("mini", "first", "n")]
-                for mini, first, n in zip(*(f.tolist() for f in fields), strict=True):
+        last = None
+        for batch in batches:
+            take, minis, splits, firsts, packed = [], [], [], [], []
+            keys = zip(batch["doc"].to_pylist(), batch["th"].to_pylist(), strict=True)
+            for k, (key, body, parts) in enumerate(zip(keys, batch["body"], batch["parts"], strict=True)):
+                if key == last:
+                    continue
+                last = key
+                words = body.as_py().split()
+                fields = [parts.values.field(c).to_numpy() for c in ("mini", "part", "first", "n")]
+                for mini, part, first, n in zip(*(f.tolist() for f in fields), strict=True):
                     take.append(k)
                     minis.append(mini)
+                    splits.append(part)
                     firsts.append(first)
                     packed.append(b" ".join(words[first : first + n + window - 1]))
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(minis, pa.int64()), batch["doc"].take(at), batch["th"].take(at), pa.array(firsts, pa.int32()), pa.array(packed, pa.binary())],
-                names=["mini", "doc", "th", "first", "words"],
+                [pa.array(minis, pa.int64()), pa.array(splits, pa.int32()), batch["doc"].take(at), batch["th"].take(at), pa.array(firsts, pa.int32()), pa.array(packed, pa.binary())],
+                names=["mini", "part", "doc", "th", "first", "words"],
             )
 
-    by_row = live.groupBy("doc", "th").agg(F.collect_list(F.struct("mini", "first", "n")).alias("parts"))
-    return rows.join(by_row, ["doc", "th"]).select("doc", "th", "body", "parts").mapInArrow(run, "mini long, doc long, th long, first int, words binary")
+    by_row = strings.groupBy("doc", "th").agg(F.collect_list(F.struct("mini", "part", "first", "n")).alias("parts"))
+    both = rows.join(by_row.hint("merge"), ["doc", "th"]).select("doc", "th", "body", "parts")
+    return both.mapInArrow(run, "mini long, part int, doc long, th long, first int, words binary")
 
 
 def _window_hashes(packed: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -127,7 +158,12 @@ def _window_hashes(packed: list[bytes], window: int) -> tuple[np.ndarray, np.nda
 
 
 def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
-    """doc, th, begin, end: word spans to remove, from buckets that are streamed in minimiser order."""
+    """doc, th, begin, end: word spans to remove, from buckets that are streamed in minimiser order.
+
+    From parts of heavy buckets, every window instead, with its hashes w1 and w2, else null.
+    """
+    schema = "doc long, th long, begin int, end int, w1 long, w2 long"
+    names = ["doc", "th", "begin", "end", "w1", "w2"]
 
     def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
         w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
@@ -142,14 +178,22 @@ def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
         last = np.append(cut[1:], len(gone))[: len(cut)] - 1
         take = pa.array(string[cut])
         begin = first[string[cut]] + at[cut]
-        return pa.RecordBatch.from_arrays(
-            [batch["doc"].take(take), batch["th"].take(take), pa.array(begin.astype(np.int32)), pa.array((begin + at[last] - at[cut] + window).astype(np.int32))],
-            names=["doc", "th", "begin", "end"],
-        )
+        ends = pa.array((begin + at[last] - at[cut] + window).astype(np.int32))
+        none = pa.nulls(len(cut), pa.int64())
+        return pa.RecordBatch.from_arrays([batch["doc"].take(take), batch["th"].take(take), pa.array(begin.astype(np.int32)), ends, none, none], names=names)
+
+    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
+        take, begin = pa.array(owner), (batch["first"].to_numpy()[owner] + offset).astype(np.int32)
+        return pa.RecordBatch.from_arrays([batch["doc"].take(take), batch["th"].take(take), pa.array(begin), pa.array(begin + np.int32(window)), pa.array(signed(w1)), pa.array(signed(w2))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the last bucket, which may go on
         for batch in batches:
+            heavy = batch["part"].to_numpy() >= 0
+            for part in _chunks(batch.filter(pa.array(heavy))):
+                yield windows(part)
+            batch = batch.filter(pa.array(~heavy))
             mini = batch["mini"].to_numpy()
             if not len(mini):
                 continue
@@ -164,36 +208,40 @@ def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
         if held:
             yield spans(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
-    ordered = packed.repartition("mini").sortWithinPartitions("mini")
-    return ordered.mapInArrow(run, "doc long, th long, begin int, end int")
-
-
-def _heavy_spans(packed: DataFrame, window: int) -> DataFrame:
-    """The same from windows as rows, for minimisers with many references."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
-            w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
-            take = pa.array(owner)
-            begin = (batch["first"].to_numpy()[owner] + offset).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(w1)), pa.array(signed(w2)), batch["doc"].take(take), batch["th"].take(take), pa.array(begin)], names=["w1", "w2", "doc", "th", "begin"]
-            )
-
-    windows = packed.mapInArrow(run, "w1 long, w2 long, doc long, th long, begin int")
-    least = windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
-    return windows.join(least, ["w1", "w2"]).where("doc > least").select("doc", "th", "begin", (F.col("begin") + window).alias("end"))
+    ordered = packed.repartition("mini", "part").sortWithinPartitions("mini")
+    return ordered.mapInArrow(run, schema)
 
 
-def repeated_spans(docs: DataFrame, *, window: int = WINDOW, run: int = RUN, heavy: int = HEAVY) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, window: int = WINDOW, run: int = RUN, bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """doc, th, spans (array of begin, end in words) of every row that loses words; spans may overlap."""
-    rows = rows_of(docs)
-    references = _references(rows, window, run)
-    shared = references.groupBy("mini").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("refs")).where("lo < hi")
-    live = references.join(shared.select("mini", "refs"), "mini")
-    light = _bucket_spans(_packed(rows, live.where(F.col("refs") <= heavy), window), window)
-    many = _heavy_spans(_packed(rows, live.where(F.col("refs") > heavy), window), window)
-    return light.unionAll(many).groupBy("doc", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    spark, rows = docs.sparkSession, rows_of(docs)
+    references = stored(_references(rows, window, run), "references")
+    # Tables that a join reads are stored before it: then both its sides are plain exchanges.
+    shared = references.groupBy("mini").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
+    shared = stored(shared.select("mini"), "shared")
+    live = stored(references.join(small(shared, shared.count()), "mini"), "live")
+    drop_path(spark, references._scratch)
+
+    # The smallest holder of each different string.
+    holder = F.min(F.struct("doc", "th", "first")).alias("holder")
+    strings = stored(live.groupBy("mini", "sh", "n").agg(holder, F.count(F.lit(1)).alias("refs")).select("mini", "sh", "n", "holder.*", "refs"), "strings")
+    least = strings.where("refs > 1").select("mini", "sh", "n", F.col("doc").alias("least"))
+    copies = live.join(least, ["mini", "sh", "n"]).where("doc > least").select("doc", "th", F.col("first").alias("begin"), (F.col("first") + F.col("n") + window - 1).alias("end"))
+
+    # The buckets of minimisers whose different strings lie in different documents.
+    held_words = F.sum(F.col("n") + F.lit(window - 1).cast("long")).alias("words")
+    buckets = strings.groupBy("mini").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), held_words).where("lo < hi")
+    buckets = stored(buckets.select("mini", "words"), "buckets")
+    parts = F.ceil(F.col("words") / F.lit(bucket_words)).cast("long")
+    part = F.when(F.col("words") > bucket_words, F.pmod("sh", parts)).otherwise(F.lit(-1)).cast("int")
+    compared = strings.join(small(buckets, buckets.count()), "mini").withColumn("part", part)
+    found = stored(_bucket_spans(_packed(rows, compared, window), window), "found")
+    windows = found.where("w1 IS NOT NULL")
+    first = stored(windows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most"), "first")
+    many = windows.join(small(first, first.count()), ["w1", "w2"]).where("doc > least").select("doc", "th", "begin", "end")
+
+    light = found.where("w1 IS NULL").select("doc", "th", "begin", "end")
+    return copies.unionAll(light).unionAll(many).groupBy("doc", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, *, with_text: bool = True) -> DataFrame:

@@ -440,8 +440,8 @@ def test_automaton_is_the_globs():
 # ---- 8 substrings ----------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("heavy", [substrdedup.HEAVY, 3, 0])
-def test_substrings(spark, make_docs, heavy):
+@pytest.mark.parametrize("bucket", [substrdedup.BUCKET_WORDS, 300, 1])
+def test_substrings(spark, make_docs, bucket):
     r = random.Random(7)
     passages = [words(100 + k, 50 + 7 * k) for k in range(8)]
     rows = [*ONCE, (60, " ".join(["same"] * 200)), (61, " ".join(["same"] * 120)), (62, " ".join(passages[0])), (63, " ".join(passages[0][:49]))]
@@ -453,7 +453,7 @@ def test_substrings(spark, make_docs, heavy):
             parts += p[cut : len(p) - r.randrange(4)] + words(k + 500, r.randrange(30))
         rows.append((200 + (k * 37) % 120, "\n".join(parts)))
     docs = make_docs(rows)
-    got = by_id(substrdedup.remove_spans(docs, substrdedup.repeated_spans(docs, heavy=heavy)), "n_words", "n_removed", "kept_sha256")
+    got = by_id(substrdedup.remove_spans(docs, substrdedup.repeated_spans(docs, bucket_words=bucket)), "n_words", "n_removed", "kept_sha256")
     assert got == brute.substring_dedup(rows)
 
 
@@ -464,6 +464,27 @@ def test_substrings_of_repeated_rows(spark, make_docs):
     assert [r["n_removed"] for r in out if r["doc_id"] == 4] == [0]
 
 
+def test_packed_strings_do_not_grow_with_copies(spark, make_docs, monkeypatch):
+    text = " ".join(words(31, 200))
+    sent = []
+    packed = substrdedup._packed
+    monkeypatch.setattr(substrdedup, "_packed", lambda *a: sent.append(packed(*a)) or sent[-1])
+    for copies in (2, 40):
+        rows = [(1, text)] * copies + [(2, "x " + text)] * copies + [(k, text) for k in range(3, 3 + copies)] + [(90, text + " y")]
+        docs = make_docs(rows)
+        out = substrdedup.remove_spans(docs, substrdedup.repeated_spans(docs)).collect()
+        assert {(r["doc_id"], r["n_words"] - r["n_removed"]) for r in out if r["doc_id"] in (1, 2, 3, 90)} == {(1, 200), (2, 1), (3, 0), (90, 1)}
+    few, many = (df.count() for df in sent)
+    assert few == many > 0
+
+
+def test_long_documents_of_one_word(spark, make_docs):
+    rows = [(k, " ".join(["same"] * (3000 + 7 * k))) for k in range(12)] + [(20, " ".join(["same"] * 49))]
+    docs = make_docs(rows)
+    got = by_id(substrdedup.remove_spans(docs, substrdedup.repeated_spans(docs, bucket_words=5000)), "n_words", "n_removed", "kept_sha256")
+    assert got == brute.substring_dedup(rows)
+
+
 # ---- 9 decontamination -----------------------------------------------------------------------------
 
 ITEMS = [(1, " ".join(words(70, 30))), (10, " ".join(words(70, 13))), (2, "Short Item here!"), (3, None), (4, "..."), (5, "Short item HERE"), (None, "une  été-chaude"), (2, "Short Item here!")]
