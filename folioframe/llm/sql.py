@@ -145,9 +145,16 @@ l as (select *, (sum(source_size) over ()::double - coalesce(sum(cap) over (o ro
 t as (select source, source_size, least(cap, (select arg_min(level, cap / w) from l where level * w <= cap) * w) as target from l),
 p as (select *, least(floor(case when source_size > 0 then target / source_size else 1.0::double end), 3)::int as whole from t),
 q as (select *, greatest(target - whole * source_size, 0.0::double) as want from p),
-r as (select doc_id, size, source_size, target, whole, want, sum(size) over (partition by d.source order by u, doc_id nulls last, size rows unbounded preceding) as till
-  from d join q on d.source is not distinct from q.source)
-select doc_id, size, source_size, target, ((whole + case when want > 0 and till - size / 2.0::double <= want then 1 else 0 end) * size)::bigint as taken from r
+k as (select d.source, length(bin(size)) - 1 as k, sum(size)::double as cap, pow(2.0::double, {mixing.POWER} * (length(bin(size)) - 1)) * sum(size)::double as w, any_value(want) as want
+  from d join q on d.source is not distinct from q.source where size > 0 and want > 0 group by 1, 2),
+f as (select *, (want - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0.0::double))
+  / sum(w) over (o rows between current row and unbounded following) as level from k window o as (partition by source order by k desc)),
+h as (select source, arg_min(level, -k) filter (where level * w <= cap) as level from f group by 1),
+p2 as (select f.source, k, least(1.0::double, coalesce(h.level * w / cap, 1.0::double)) as p from f join h on f.source is not distinct from h.source),
+r as (select doc_id, size, source_size, target, whole, want, d.source, u * (1 - p) / (u * (1 - p) + p * (1 - u)) as rank
+  from d join q on d.source is not distinct from q.source left join p2 on d.source is not distinct from p2.source and size > 0 and length(bin(size)) - 1 = p2.k),
+z as (select *, sum(size) over (partition by source order by rank, doc_id nulls last, size rows unbounded preceding) as till from r)
+select doc_id, size, source_size, target, ((whole + case when rank is not null and till - size / 2.0::double <= want then 1 else 0 end) * size)::bigint as taken from z
 """
 
 ORACLES = {

@@ -182,3 +182,49 @@ def mix_targets(sizes):
         if not over:
             return target
         full |= over
+
+
+def mix_chances(words, want, power=0.5):
+    """words: {size class: its words}.  Each class's probability of inclusion: classes become certain one by one."""
+    sure = set()
+    while True:
+        free = [k for k in words if k not in sure]
+        level = (want - sum(words[k] for k in sure)) / sum(2 ** (power * k) * words[k] for k in free)
+        over = [k for k in free if level * 2 ** (power * k) > 1]
+        if not over:
+            return {k: 1.0 if k in sure else level * 2 ** (power * k) for k in words}
+        sure |= {max(over)}
+
+
+def mix(docs, seed=7):
+    """docs: (doc_id, text, source) with distinct ids.  {doc_id: (size, copies)}"""
+    size = {d: len(WORD.findall(t or "")) for d, t, _ in docs}
+    sources = defaultdict(list)
+    for d, _, s in docs:
+        sources[s].append(d)
+    totals = {s: sum(size[d] for d in ids) for s, ids in sources.items()}
+    target, out = mix_targets(totals), {}
+    for s, ids in sources.items():
+        whole = min(3, int(target[s] / totals[s])) if totals[s] else 1
+        want = max(target[s] - whole * totals[s], 0)
+        out |= {d: (size[d], whole) for d in ids}
+        if want <= 0:
+            continue
+        words = Counter()
+        for d in ids:
+            if size[d]:
+                words[size[d].bit_length() - 1] += size[d]
+        chance = mix_chances(words, want)
+        ranks = []
+        for d in ids:
+            if size[d]:
+                key = f"{'null' if d is None else d}:{seed}"
+                u = (int(hashlib.md5(key.encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+                p = chance[size[d].bit_length() - 1]
+                ranks.append((0.0 if p == 1 else u / (1 - u) / (p / (1 - p)), d is None, d))
+        till = 0
+        for _, _, d in sorted(ranks, key=lambda x: (x[0], x[1], x[2] or 0)):
+            till += size[d]
+            if till - size[d] / 2 <= want:
+                out[d] = (size[d], whole + 1)
+    return out

@@ -537,16 +537,47 @@ def test_mix(spark, make_docs):
     assert whole.count() == sum(x["copies"] for x in out)
 
 
-def test_inclusion_is_of_the_stated_probability(spark, make_docs):
-    docs = make_docs([(k, "w", "a" if k % 2 else "b") for k in range(400)])
-    first = [mixing.mix(docs, seed=s).where("doc_id = 1").first()["copies"] for s in range(12)]
-    assert set(first) <= {0, 1} and 2 <= sum(first) <= 12
+def test_inclusion_follows_the_odds_of_sizes(spark, make_docs):
+    """Within one source each size class is taken at its own probability, and the words are those wanted."""
+    sizes = {1: 6000, 4: 3000, 16: 2000, 64: 800, 1000: 6}
+    rows = [(10_000 * n + k, "w " * n, "a") for n, many in sizes.items() for k in range(many)] + [(9 * 10**8 + k, "w " * 500, "b") for k in range(170)]
+    total = sum(n * many for n, many in sizes.items())
+    want = (total + 170 * 500) / 3
+    chance = brute.mix_chances({n.bit_length() - 1: n * many for n, many in sizes.items()}, want)
+    assert chance[9] == 1 and chance[0] < chance[2] < chance[4] < chance[6] < 1
+    taken = {}
+    for r in mixing.mix(make_docs(rows)).where("doc_id < 900000000").collect():
+        assert r["copies"] in (0, 1) and abs(r["target"] - want) < 1e-6
+        taken[r["size"]] = taken.get(r["size"], 0) + r["copies"]
+    assert abs(sum(n * k for n, k in taken.items()) - want) <= 500
+    for n, many in sizes.items():
+        p = chance[n.bit_length() - 1]
+        assert abs(taken[n] - many * p) <= 4 * (many * p * (1 - p)) ** 0.5 + 2, (n, taken[n], many * p)
+    equal = {r["size"]: r["n"] / sizes[r["size"]] for r in mixing.mix(make_docs(rows), power=0).where("doc_id < 900000000").groupBy("size").agg(F.sum("copies").alias("n")).collect()}
+    assert all(abs(equal[n] - want / total) < 0.05 for n in (1, 4, 16, 64))
+
+
+def test_the_rank_decides(spark, make_docs):
+    """A plain ranking of the whole table, by the same odds, takes the same documents."""
+    r = random.Random(13)
+    rows = [(k, " ".join(["w"] * int(2 ** r.uniform(0, 9))), r.choice(["a", "b", None])) for k in range(900)] + [(2000, "", "a"), (2001, None, "b"), (None, "x y z", "b")]
+    for fan in (1024, 2):
+        got = {x["doc_id"]: (x["size"], x["copies"]) for x in mixing.mix(make_docs(rows), fan=fan).collect()}
+        assert got == brute.mix(rows)
 
 
 def test_mix_of_odd_rows(spark, make_docs):
-    assert mixing.mix(make_docs(ODD)).count() == len(ODD)
-
-
+    out = mixing.mix(make_docs(ODD)).collect()
+    assert len(out) == len(ODD) and all(x["taken"] == x["copies"] * x["size"] and 0 <= x["copies"] <= 3 for x in out)
+    assert len({x["copies"] for x in out if x["doc_id"] in (1, 3)}) == 1  # without words, of one source: the certain copies
+    taken, target = {}, {}
+    source = {d: s for d, _, s in ODD}
+    for x in out:
+        s = source[x["doc_id"]]
+        taken[s], target[s] = taken.get(s, 0) + x["taken"], x["target"]
+    assert all(abs(taken[s] - target[s]) <= 6000 for s in taken)
+    whole = mixing.mixed_documents(make_docs(ODD))
+    assert whole.columns == make_docs(ODD).columns and whole.count() == sum(x["copies"] for x in out)
 
 
 def test_links_between_classes(spark, make_docs):
