@@ -10,39 +10,48 @@ _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 
 
-def _located(kind: str, pattern: str, valid: str) -> str:
+def _context(pattern: str) -> str:
+    """The context of match i: up to pii.NEAR code points of the gaps on either side, without cut words."""
+    gap, n = f"string_split_regex(t, '{pattern}')", pii.NEAR
+    left = f"case when length({gap}[i]) > {n} then regexp_replace(right({gap}[i], {n}), '\\A\\p{{L}}+', '') else {gap}[i] end"
+    right = f"case when length({gap}[i + 1]) > {n} then regexp_replace(left({gap}[i + 1], {n}), '\\p{{L}}+\\z', '') else {gap}[i + 1] end"
+    return f"concat({left}, '|', {right})"
+
+
+def _located(kind: str, pattern: str, valid: str, near: bool = False) -> str:
     """A list of the valid matches in t, with code points; ``valid`` is over v, digits over g."""
+    context = f", 'c': {_context(pattern)}" if near else ""
     return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{pattern}')) + 1), lambda i: {{'kind': '{kind}',
       'b': (list_sum(list_transform(string_split_regex(t, '{pattern}')[1:i], lambda x: length(x)))
         + coalesce(list_sum(list_transform(regexp_extract_all(t, '{pattern}')[1:i - 1], lambda x: length(x))), 0))::bigint,
-      'v': regexp_extract_all(t, '{pattern}')[i]}}), lambda s: {valid})"""
+      'v': regexp_extract_all(t, '{pattern}')[i]{context}}}), lambda s: {valid})"""
 
 
 _DIGITS = "regexp_replace(s.v, '[^0-9]', '', 'g')"
 _LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k: case when (length({_DIGITS}) - k) % 2 = 0 then substr({_DIGITS}, k, 1)::int
   else substr({_DIGITS}, k, 1)::int * 2 - case when substr({_DIGITS}, k, 1)::int > 4 then 9 else 0 end end)) % 10 = 0"""
-_BASE = "list_concat(list_concat({}, {}), list_concat({}, {}))".format(
-    _located("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
-    _located("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(s.v, '.'), lambda p: p::hugeint > 255)) = 0"),
-    _located("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) between 13 and 19 and {_LUHN}"),
-    _located("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) between 9 and 15"),
+_KINDS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(s.v, '.'), lambda p: p::hugeint > 255)) = 0"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) between 13 and 19 and {_LUHN}"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) between 9 and 15"),
 )
+_BASE, _NEAR = ("list_concat(list_concat({}, {}), list_concat({}, {}))".format(*(_located(*k, near=near) for k in _KINDS)) for near in (False, True))
 _NAMED = "array_to_string(list_transform({}, lambda s: concat(s.kind, ':', s.b, ':', s.b + length(s.v))), ',')"
 
 PII = f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 based as (select doc_id, {_BASE} as base from d),
-line as (select distinct doc_id, unnest(string_split(t, chr(10))) as t from d),
-held as (select doc_id, t as line, unnest(list_distinct(list_transform(base, lambda s: concat(s.kind, ':', s.v)))) as entity
-  from (select doc_id, t, {_BASE} as base from line where regexp_matches(t, '@|[0-9]')) where len(base) > 0),
-term as (select distinct doc_id, line, entity, unnest(regexp_extract_all(lower(line), '{pii.TERM}')) as term from held),
-pair as (select entity, term, count(distinct doc_id) as n_both from term group by 1, 2 having count(distinct line) >= {pii.SUPPORT}),
+held as (select doc_id, s.kind || ':' || s.v as entity, s.c as context from (select doc_id, unnest({_NEAR}) as s from d where regexp_matches(t, '@|[0-9]'))),
+term as (select distinct doc_id, entity, context, unnest(regexp_extract_all(lower(context), '{pii.TERM}')) as term from held),
+pair as (select entity, term, count(distinct doc_id) as n_both, count(distinct context)::double as c from term group by 1, 2),
 n_term as (select term, count(*) as n_term from (select distinct doc_id, unnest(regexp_extract_all(lower(t), '{pii.TERM}')) as term from d) group by 1),
 n_entity as (select entity, count(distinct doc_id) as n_entity from held group by 1),
-share as (select entity, term, log2(n::double * n_both / (n_entity * n_term)) / nullif(log2(n::double / n_entity), 0) as share
-  from pair join n_term using (term) join n_entity using (entity), (select count(*) as n from documents)),
-mine as (select doc_id, term, max(least(share, 1.0)) as share from (select distinct doc_id, entity from held) join share using (entity)
-  where share >= {pii.GENERALISE} group by 1, 2),
+counts as (select entity, term, n::double as n, n_entity, c, least(n_both / n_term, 1.0::double) as p, nullif(log2(n::double / n_entity), 0) as ic
+  from pair join n_term using (term) join n_entity using (entity), (select count(distinct doc_id) as n from documents)),
+share as (select entity, term, log2(n * p / n_entity) / ic as share from counts where log2(n / n_entity
+  * (p + {pii.Z**2}::double / (2 * c) - {pii.Z}::double * sqrt(p * (1 - p) / c + {pii.Z**2}::double / (4 * c * c))) / (1 + {pii.Z**2}::double / c)) / ic >= {pii.GENERALISE}),
+mine as (select doc_id, term, max(least(share, 1.0)) as share from (select distinct doc_id, entity from held) join share using (entity) group by 1, 2),
 word as (select doc_id, unnest({_located("term", r"\p{L}+", "true")}) as s from d where doc_id in (select doc_id from mine)),
 more as (select doc_id, string_agg(concat(case when share >= {pii.REMOVE} then 'term_removed' else 'term' end, ':', s.b, ':', s.b + length(s.v)), ',' order by s.b) as more
   from word join mine using (doc_id) where lower(s.v) = term group by 1)

@@ -91,6 +91,36 @@ def test_copies_of_one_line_reveal_nothing(spark, make_docs):
     assert all(r["n"] == 0 for r in pii.find(make_docs(rows)).select(F.size("more").alias("n")).collect())
 
 
+def test_repeats_change_no_disclosure(spark, make_docs):
+    """Counts are of documents: a row repeated 30 times discloses as much as once, as the SQL has it."""
+    import duckdb
+
+    rows = [(k, f"note {k}: Zanzibaria\nwrote from zz@top.org about item {k}") for k in range(4)] + [(k, f"wrote about note {k} of this item") for k in range(10, 40)]
+    rows += [(None, "zanzi from q@r.st"), (60, "Mail: the only-one@of.its kind\n" + "x " * 300 + "+1 555 010 9999 phone")]
+    spans = lambda given: {r["doc_id"]: (r["b"], r["m"]) for r in pii.find(make_docs(given)).select("doc_id", pii.digest(F.col("base")).alias("b"), pii.digest(F.col("more")).alias("m")).collect()}
+    once, often = spans(rows), spans(rows + [rows[0]] * 30 + [rows[10]] * 9 + [rows[-2]] * 5)
+    assert once == often and sum("term" in m for _, m in once.values()) >= 4
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", [r for r in rows if r[0] is not None])
+    want = con.sql(queries.oracle_sql()["op1_pii"]).fetchall()
+    got = spans([r for r in rows if r[0] is not None])
+    assert {r[0]: r[6] for r in want} == {d: ",".join(x for x in both if x) for d, both in got.items()}
+
+
+def test_many_spans_in_one_text(spark, make_docs):
+    text = " ".join(f"ab{k}é@x{k}.org 10.0.{k % 256}.{k % 99}" for k in range(4000)) + " +4111 1111 1111 1111"
+    row = pii.find(make_docs([(1, text), (2, "none")])).where("doc_id = 1").select(pii.digest(F.col("base")).alias("d"), "base").first()
+    assert brute.sha(row["d"]) == brute.pii(text)[4]
+    clean = pii.sanitise(make_docs([(1, text), (2, "none")]), generalise=2.0).where("doc_id = 1").first()["text"]
+    want, at = [], 0
+    for b, e, kind in sorted((s["begin"], s["end"], s["kind"]) for s in row["base"]):
+        if b >= at:
+            want += [text[at:b], f"[{kind.upper()}]"]
+        at = max(at, e)
+    assert clean == "".join([*want, text[at:]])
+
+
 def test_native_operators_run_no_python(spark, make_docs):
     docs = make_docs(ODD)
     for df in (pii.find(docs), quality.apply_policy(quality.ledger(docs)), mixing.mix(docs), quality.filter_documents(docs), mixing.mixed_documents(docs)):
