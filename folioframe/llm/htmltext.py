@@ -1,15 +1,21 @@
 """HTML main text: flat text blocks classified by a small decision tree.
 
 A page is cut into blocks at block-level tags.  Each block has shallow features: its words, its link
-density, those of the blocks before and after it, and where it stands (inside the article, inside a
-navigation, advert, form or comment container, in a heading).  A decision tree, trained on the small
-labelled table below, says which blocks are main text.
-
-What is no text is skipped up to its own end tag, whatever markup its content looks like.  A head
-needs no end tag: its elements hold no text, and text in it belongs to the body, as in a browser.
-
-Edge cases: null or empty html gives an empty text.  Cut-off pages and unclosed tags are read as far
-as they go.  Repeated pages get equal results.  An empty table gives none.
+density, those of the blocks before and after it, whether it lies in an article element or beside one,
+whether it is a heading, and how far its containers look like boilerplate (0 to 2, see ``_names``).  A
+decision tree says which blocks are main text.  It is trained on the blocks of ``PAGES`` labelled pages,
+which are made by rule (``htmlpages``): with and without article elements and telling names, with
+articles in containers of misleading names, and with menus, sidebars and teasers that only words and
+links tell from text.
+
+What is no text is skipped up to its own end tag, whatever markup its content looks like; a button or
+a select box that is not closed ends where a block begins.  A head needs no end tag: its elements hold
+no text, and text in it belongs to the body, as in a browser.
+
+Edge cases: null or empty html gives an empty text.  Very long pages are read whole, in linear time.
+Cut-off pages and unclosed tags are read as far as they go.  Blocks keep the order of the page, so
+there are no ties.  Repeated pages get equal results, a null page_id stays null.  Columns of any other
+name are not read.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import htmlpages
+
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>""",
     re.DOTALL,
@@ -33,7 +41,7 @@ _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
 #: Elements whose content is no text.
-RAW = frozenset("script style noscript noframes template iframe svg math canvas object select textarea button title video audio".split())
+RAW = frozenset("script style noscript noframes template iframe svg select textarea button title".split())
 #: Those of them whose content is no markup: it ends at the first end tag of their name.
 PLAIN = frozenset("script style noscript noframes iframe textarea title".split())
 #: Void elements have no end tag.
@@ -46,12 +54,32 @@ BLOCK = frozenset(
 #: Elements kept on the stack of containers.
 CONTAINER = frozenset("article aside body details dialog div dl fieldset figure footer form header html li main menu nav ol section span table td tr ul".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog fieldset".split())
-HINTS = frozenset(
-    "ad ads advert advertisement advertising adsense sponsor sponsored promo promotion sidebar side menu nav navbar navigation breadcrumb"
-    " breadcrumbs masthead footer foot cookie cookies consent gdpr notice notices alert banner popup modal overlay newsletter subscribe"
-    " subscription signup login search form comment comments reply replies respond discussion disqus related recommended share sharing social"
-    " widget tags pagination pager copyright legal contentinfo complementary".split()
+#: Names of what is no article, and names that may be either.
+STRONG = frozenset(
+    "ad ads adsense sponsor sponsored sidebar menu nav navbar navigation masthead footer foot cookie cookies consent gdpr notice notices popup modal"
+    " newsletter subscribe subscription signup login search form comment comments reply replies respond discussion disqus recommended tags pagination"
+    " pager copyright contentinfo complementary".split()
 )
+STEMS = ("advert", "comment", "breadcrumb", "sidebar", "newsletter")
+WEAK = frozenset("promo promotion side alert banner overlay related share sharing social widget legal teaser more header".split())
+#: What is put behind such names, and what before them says that they are of something else.
+PLACES = frozenset("box wrapper wrap container block section area list inner outer bar panel item items link links group row column left right top bottom".split())
+OTHERS = frozenset("has with no without hide show".split())
+
+
+def _strength(name: str) -> int:
+    """2 where the last word of a name, places aside, is of no article, 1 where another is or may be, else 0."""
+    words = re.findall(r"[a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())
+    if not words or words[0] in OTHERS:
+        return 0
+    while len(words) > 1 and words[-1] in PLACES:
+        words.pop()
+    strong = [w in STRONG or w.startswith(STEMS) for w in words]
+    return 2 if strong[-1] else int(any(strong) or any(w in WEAK for w in words))
+
+
+def _names(attributes: str) -> list[str]:
+    return [name for x in _HINT.findall(attributes) for name in "".join(x).split()]
 
 
 _SCRIPT = re.compile(r"<!--|-->|<(/?)script(?=[\s/>])", re.IGNORECASE)
@@ -65,8 +93,18 @@ def _end_tag(tag: str) -> re.Pattern:
     return re.compile(f"{passed}(?P<own>{own})", re.DOTALL | re.IGNORECASE)
 
 
+#: No button or select box holds these, so it ends there if not before; a div may stand in one.
+_NEXT = re.compile(rf"<(?:/?(?:{'|'.join(sorted(BLOCK - {'div', 'option', 'hr', 'legend', 'label'}))})|button|select)(?=[\s/>])", re.IGNORECASE)
+
+
 def _skipped(html: str, tag: str, at: int) -> int:
     """Where the end tag of an element without text starts, or the end of the page."""
+    if tag in ("button", "select"):
+        end = _end_tag(tag).search(html, at)
+        while end and not end["own"]:
+            end = _end_tag(tag).search(html, end.end())
+        block = _NEXT.search(html, at, end.start() if end else len(html))
+        return block.start() if block else end.start() if end else len(html)
     if tag == "script":
         state = 0  # 1: after <!--, 2: in a script element written there, whose end tag doesn't count
         while m := _SCRIPT.search(html, at):
@@ -91,7 +129,7 @@ class Block:
     n_words: int
     link_words: int
     inside: bool
-    boiler: bool
+    boiler: int
     heading: bool
 
     @property
@@ -101,11 +139,12 @@ class Block:
 
 def blocks_of(html: str | None) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, is article, is boilerplate
+    stack: list[tuple[str, bool, int]] = []  # tag, is article, looks like boilerplate
     parts: list[str] = []
     linked: list[str] = []
     in_link = 0
-    inside = boiler = heading = False
+    inside = heading = False
+    boiler = 0
     html = html or ""
     at = 0
 
@@ -120,7 +159,7 @@ def blocks_of(html: str | None) -> list[Block]:
 
     def stand() -> None:
         nonlocal inside, boiler
-        inside, boiler = any(x[1] for x in stack), any(x[2] for x in stack)
+        inside, boiler = any(x[1] for x in stack), max((x[2] for x in stack), default=0)
 
     while m := _MARKUP.search(html, at):
         if m.start() > at:
@@ -164,11 +203,14 @@ def blocks_of(html: str | None) -> list[Block]:
                         break
             elif not attributes.endswith("/"):
                 article = tag in ("article", "main")
-                bad = tag in OUTSIDE or tag == "header" and not inside
+                bad = 2 if tag in OUTSIDE or tag == "header" and not inside else 0
                 if attributes and tag not in ("body", "html"):
-                    names = {w for x in _HINT.findall(attributes) for w in re.split(r"[^a-z0-9]+", "".join(x).lower())}
-                    bad = bad or not article and bool(names & HINTS or "header" in names and not inside) or bool(_HIDDEN.search(attributes))
-                    article = article or bool(names & {"article", "main"}) and tag in ("div", "section") and not bad
+                    names = _names(attributes)
+                    if not article:
+                        bad = max([bad, *map(_strength, names)])
+                    if _HIDDEN.search(attributes) or "header" in names and not inside and not article:
+                        bad = 2
+                    article = article or not bad and tag in ("div", "section") and bool({"article", "main"} & {n.lower() for n in names})
                 if article or bad or tag != "span":
                     if bad or article:
                         flush()
@@ -199,102 +241,47 @@ def features(blocks: list[Block]) -> np.ndarray:
     return x
 
 
-#: The labelled table: FEATURES of hand-labelled blocks, then 1 for main text.
-LABELLED = """
-1 1 0 0 1 1 0 1 1 0 0
-1 1 1 1 1 1 0 1 1 0 0
-2 1 1 1 14 0 0 1 1 0 0
-14 0 2 1 9 0 0 1 1 0 0
-9 0 14 0 40 0 1 0 0 1 1
-40 0 9 0 55 0 1 0 0 0 1
-55 0 40 0 1 0 1 0 0 0 1
-1 0 55 0 30 0 1 0 0 0 1
-2 0 1 0 30 0 1 0 0 0 1
-30 0.1 2 0 7 0 1 0 0 0 1
-7 0 30 0.1 11 0 1 0 0 0 1
-11 0 7 0 0 0 0 1 1 0 0
-8 0.4 60 0 0 0 0 1 0 0 0
-25 0 80 0 12 0.2 0 1 0 0 0
-3 0 25 0 12 1 0 1 0 1 0
-6 1 30 0 25 0 1 0 0 0 1
-4 1 50 0 3 1 1 0 1 0 0
-3 1 4 1 3 1 1 0 1 0 0
-20 0 45 0 18 0 1 0 1 0 0
-18 0 20 0 33 0 1 0 1 0 0
-33 0 18 0 4 0.5 1 0 1 0 0
-60 0 20 0 60 0 1 0 1 0 0
-120 0 90 0 70 0 1 0 0 0 1
-70 0.05 120 0 6 1 1 0 0 0 1
-5 0 70 0 65 0 1 0 0 1 1
-4 0 0 0 40 0 0 0 0 1 1
-2 0 1 0 30 0 0 0 0 1 1
-3 0 30 0 40 0 0 0 0 1 1
-45 0 4 0 60 0 0 0 0 0 1
-60 0.1 45 0 35 0 0 0 0 0 1
-35 0 60 0 3 1 0 0 0 0 1
-14 0 35 0 50 0 0 0 0 0 1
-12 0 60 0 40 0 0 0 0 0 1
-16 0.1 22 0 18 0 0 0 0 0 1
-3 1 35 0 4 1 0 0 0 0 0
-4 1 3 1 2 1 0 0 0 0 0
-2 1 4 1 3 1 0 0 0 0 0
-5 0.8 3 1 2 1 0 0 0 0 0
-8 0.75 2 1 0 0 0 0 0 0 0
-12 0.9 5 0.8 14 0.9 0 0 0 0 0
-20 0.8 12 0.9 9 1 0 0 0 0 0
-3 0 2 1 3 1 0 0 0 0 0
-2 0 1 1 0 0 0 0 0 0 0
-30 0 4 0 28 0 0 0 1 0 0
-28 0 30 0 3 1 0 0 1 0 0
-6 0 28 0 4 0 0 0 1 1 0
-4 0.5 6 0 0 0 0 0 1 0 0
-"""
-
-
-LENGTHS = (1, 6, 30, 200)
+#: Labelled pages that the tree is trained on, whatever the table.
+PAGES = 600
+DEPTH, LEAST = 9, 6
 
 
-@lru_cache(maxsize=1)
-def labelled() -> tuple[np.ndarray, np.ndarray]:
-    """Where a block's container decides, its label holds at any length: such a row is taken at all of LENGTHS."""
-    rows = [[float(v) for v in line.split()] for line in LABELLED.strip().splitlines()]
-    out = []
-    for row in rows:
-        if any(row[6:9]):
-            out += [[a, row[1], b, row[3], c, row[5], *row[6:]] for a in LENGTHS for b in LENGTHS for c in LENGTHS]
-        else:
-            out.append(row)
-    table = np.array(out)
-    return table[:, :-1], table[:, -1].astype(int)
+def labelled(pages: int = PAGES, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the blocks of ``pages`` pages made by rule, and 1 for main text: the words of an article are marked, not its tags."""
+    x, y = [], []
+    for html in htmlpages.pages(pages, seed):
+        blocks = blocks_of(html)
+        x.append(features(blocks))
+        y += [b.text.startswith(htmlpages.MARK) for b in blocks]
+    return np.concatenate(x), np.array(y).astype(int)
 
 
 class DecisionTree:
     """Binary CART by Gini impurity; ties go to the first feature and the lowest threshold."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 1) -> None:
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAST) -> None:
         self.value = float(y.mean())
         self.feature = None
-        if depth == 0 or len(set(y.tolist())) < 2 or len(y) < 2 * least:
+        n, ones = len(y), int(y.sum())
+        if depth == 0 or ones in (0, n) or n < 2 * least:
             return
-        best = (self._impurity(y) - 1e-9, None, None)
+        best = (ones * (n - ones) / n - 1e-9, None, None)
         for k in range(x.shape[1]):
-            levels = np.unique(x[:, k])
-            for cut in (levels[:-1] + levels[1:]) / 2:
-                left = x[:, k] <= cut
-                if min(left.sum(), (~left).sum()) < least:
-                    continue
-                score = left.mean() * self._impurity(y[left]) + (~left).mean() * self._impurity(y[~left])
-                if score < best[0] - 1e-12:
-                    best = score, k, cut
+            order = np.argsort(x[:, k], kind="stable")
+            v, left_ones = x[order, k], np.cumsum(y[order])[:-1]
+            left = np.arange(1, n)
+            allowed = (v[1:] > v[:-1]) & (left >= least) & (n - left >= least)
+            if not allowed.any():
+                continue
+            right_ones = ones - left_ones
+            score = left_ones * (left - left_ones) / left + right_ones * (n - left - right_ones) / (n - left)
+            at = int(np.argmin(np.where(allowed, score, np.inf)))
+            if score[at] < best[0] - 1e-12:
+                best = float(score[at]), k, float((v[at] + v[at + 1]) / 2)
         if best[1] is not None:
             _, self.feature, self.cut = best
-            left = x[:, self.feature] <= self.cut
-            self.low, self.high = DecisionTree(x[left], y[left], depth - 1, least), DecisionTree(x[~left], y[~left], depth - 1, least)
-
-    @staticmethod
-    def _impurity(y: np.ndarray) -> float:
-        p = y.mean()
-        return float(2 * p * (1 - p))
+            low = x[:, self.feature] <= self.cut
+            self.low, self.high = DecisionTree(x[low], y[low], depth - 1, least), DecisionTree(x[~low], y[~low], depth - 1, least)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """The share of main text in each row's leaf."""
@@ -305,28 +292,33 @@ class DecisionTree:
         out[low], out[~low] = self.low.predict(x[low]), self.high.predict(x[~low])
         return out
 
+    def splits(self) -> list[str]:
+        """The feature of each inner node, from the root down."""
+        return [] if self.feature is None else [FEATURES[self.feature], *self.low.splits(), *self.high.splits()]
+
 
 @lru_cache(maxsize=1)
 def trained() -> DecisionTree:
     return DecisionTree(*labelled())
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, tree: DecisionTree | None = None) -> str:
     blocks = blocks_of(html)
     if not blocks:
         return ""
-    keep = trained().predict(features(blocks)) >= 0.5
+    keep = (tree or trained()).predict(features(blocks)) >= 0.5
     return " ".join(b.text for b, k in zip(blocks, keep.tolist(), strict=True) if k)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars of every page; no shuffle."""
+    """page_id, url, text, n_chars of every page; no shuffle.  The tree is trained once, on the driver."""
     read = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html"))
     kinds = {c: read.schema[c].dataType.simpleString() for c in ("page_id", "url")}
+    tree = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(html) for html in batch["html"].to_pylist()]
+            texts = [main_text(html, tree) for html in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
