@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from . import mixing, pii, quality
-from .urlfilter import SITE_RULES
+from .urlfilter import SITE_RULES, given_globs
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -103,13 +105,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 
 _FITS = " union all ".join(f"select '{r.host}' as h, '{r.path}' as p, '{r.verdict}' as v" for r in SITE_RULES)
 
+#: The globs as one pattern: ** is any run, * any run without / and ?.
+_GLOBS = "|".join(re.sub(r"(?:\\\*){2,}", ".*", re.escape(g)).replace(r"\*", "[^/?]*").replace(r"\-", "-") for g in given_globs())
+_URL = f"{_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")}"
+
 URLS = f"""
-with u as (select page_id, coalesce(url, '') like '%://%' as ok, {_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} as host,
-  regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path from pages),
+with u as (select page_id, coalesce(url, '') like '%://%' as ok, {_URL} as host,
+  regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path, regexp_extract(coalesce(url, ''), '^.*?://[^?#]*([?][^#]*)', 1, 's') as query from pages),
 r as ({_FITS}),
 best as (select page_id, arg_max(concat(h, p), length(concat(h, p))) as rule, arg_max(v, length(concat(h, p))) as v
   from u join r on ok and (host = h or ends_with(host, concat('.', h))) and starts_with(path, p) group by 1),
-j as (select *, ok and (host like '%casino%' or host like '%cheap-pills%' or host like '%free-bets%' or concat('.', host) like '%.xxx') as bad from u left join best using (page_id))
+j as (select *, ok and regexp_matches(concat('.', host, {_LOWER.format("case when path = '' then '/' else path end")}, {_LOWER.format("query")}), '^(?:{_GLOBS})', 's') as bad from u left join best using (page_id))
 select page_id, host, path, rule, coalesce(v, case when bad then 'block' else 'allow' end) as verdict,
   case when rule is not null then 'rule' when bad then 'glob' else 'default' end as "by" from j
 """

@@ -494,18 +494,57 @@ def test_urls(spark):
     assert [URLS[k] for k, r in rows.items() if r["by"] == "glob"] == ["http://casino.org/", "http://free-bets.example.org", "http://a.b.xxx"]
 
 
-def test_automaton_is_the_globs():
+def as_pattern(glob):
     import re
 
+    return re.compile("".join(".*" if x.startswith("**") else "[^/?]*" if x == "*" else re.escape(x) for x in re.findall(r"\*+|[^*]+", glob)), re.DOTALL)
+
+
+def test_automaton_is_the_globs():
     r = random.Random(3)
-    globs = ["".join(r.choice("ab*/") for _ in range(r.randrange(1, 9))) + "a" for _ in range(60)]
-    urls = ["".join(r.choice("ab/") for _ in range(r.randrange(0, 14))).encode() for _ in range(400)]
+    globs = ["".join(r.choice("ab*/?*") for _ in range(r.randrange(1, 9))) + "a" for _ in range(3000)]
+    urls = ["".join(r.choice("ab/?") for _ in range(r.randrange(0, 14))).encode() for _ in range(300)]
     found = urlfilter.GlobAutomaton(globs).match(urls)
     for j, glob in enumerate(globs):
-        pattern = re.compile("[^/]*".join(map(re.escape, re.sub(r"\*+", "*", glob).split("*"))))
+        pattern = as_pattern(glob)
         assert [bool(x) for x in found[:, j]] == [pattern.match(u.decode()) is not None for u in urls], glob
 
 
+def test_given_globs_judge_whole_urls(spark):
+    """Each glob of the table, filled in at random, blocks; the verdicts are those of plain patterns."""
+    import re
+
+    globs = urlfilter.given_globs()
+    assert len(globs) > 150 and len(set(globs)) == len(globs)
+    r = random.Random(4)
+    fill = lambda m: "".join(r.choice("abc-.") for _ in range(r.randrange(4))) if m[0] == "*" else "".join(r.choice("abc/?=.") for _ in range(r.randrange(6)))
+    urls = []
+    for glob in globs:
+        for _ in range(4):
+            whole = re.sub(r"\*+", fill, glob)
+            whole = whole if whole.startswith(".") and "/" in whole else "." + whole
+            host, rest = re.match(r"([^/?]*)(.*)", whole[1:]).groups()
+            urls.append(f"http://{host or 'a.org'}{rest.upper() if r.random() < 0.3 else rest}#f")
+    urls += ["http://a.org/p?x=/login", "http://a.org/login?x", "http://a.org/logi", "http://a.org?adurl=1", "http://a.org/a;JSESSIONID=1", "http://poker.org/", "http://a.poker"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    patterns = [as_pattern(g) for g in globs]
+    blocked = 0
+    for row in urlfilter.judge(pages, rules=[urlfilter.SiteRule("allow", "none.such", "/")]).collect():
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)((?:\?[^#]*)?)", urls[row["page_id"]])
+        whole = "." + (m[1] + (m[2] or "/") + m[3]).translate(brute.UPPER)
+        bad = any(p.match(whole) for p in patterns)
+        assert (row["verdict"], row["by"]) == (("block", "glob") if bad else ("allow", "default")), whole
+        blocked += bad
+    assert blocked > 0.6 * len(urls)
+
+
+def test_odd_urls_and_repeated_rows(spark):
+    long = "http://a.org/" + "x/" * 40_000 + "login"
+    pages = spark.createDataFrame([(None, long), (1, long), (1, long), (2, None)], "page_id long, url string").withColumn("rule", F.lit(1)).withColumn("_whole", F.lit("y"))
+    rows = urlfilter.judge(pages).collect()
+    assert sorted((r["page_id"] or 0, r["verdict"], r["by"]) for r in rows) == [(0, "block", "glob"), (1, "block", "glob"), (1, "block", "glob"), (2, "allow", "default")]
+
+
 # ---- 8 substrings ----------------------------------------------------------------------------------
 
 
