@@ -8,8 +8,11 @@ window; a window whose hash is found is compared word by word before it counts.
 Documents: a word inside any occurrence of a window is hit.  ``contaminated`` holds if a word is hit
 and hits are at least a twentieth of the words.
 
-Edge cases: null and empty texts have no words and are clean.  An item without words has no window.
-A null item_id is named ``null``; repeated items count once.  Repeated documents get equal results.
+Edge cases: null and empty texts have no words and are clean.  Very long texts are read whole, window by
+window.  An item without words has no window.  A null item_id is named ``null``; repeated items count
+once, and windows that tie between items are hits of each.  Repeated documents get equal results, and
+a null doc_id stays null.  Columns of any other name are not read, and ``remove_documents`` passes them on.
+An empty table of documents gives none; with an empty benchmark every document is clean.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import gram_hashes, id_back, id_of, rows_of, stored, text_of, word_hashes
@@ -85,8 +88,18 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     return items.mapInArrow(cut, "item string, words array<binary>").distinct()
 
 
-def _collected(windows: DataFrame, block) -> list[tuple[str, tuple[bytes, ...]]]:
-    return [(r["item"], tuple(map(bytes, r["words"]))) for r in windows.where(block).collect()]
+def _blocks(windows: DataFrame, block_windows: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The windows with their block, and all blocks: none has more than ``block_windows`` rows, however many items share a window."""
+    n = max(1, -(-windows.count() // block_windows))
+    order = Window.partitionBy("bucket").orderBy("words", "item")
+    numbered = windows.withColumn("bucket", F.pmod(F.xxhash64("words"), F.lit(n)).cast("int"))
+    numbered = stored(numbered.withColumn("part", F.floor((F.row_number().over(order) - 1) / block_windows).cast("int")), "windows")
+    return numbered, sorted((r["bucket"], r["part"]) for r in numbered.select("bucket", "part").distinct().collect())
+
+
+def _collected(windows: DataFrame, block: tuple[int, int]) -> list[tuple[str, tuple[bytes, ...]]]:
+    found = windows.where((F.col("bucket") == block[0]) & (F.col("part") == block[1]))
+    return [(r["item"], tuple(map(bytes, r["words"]))) for r in found.collect()]
 
 
 _built: dict = {}
@@ -99,11 +112,11 @@ def _windows_of(held) -> Windows:
     return _built["windows"]
 
 
-def _hits_of_blocks(rows: DataFrame, windows: DataFrame, n_blocks: int) -> DataFrame:
+def _hits_of_blocks(rows: DataFrame, windows: DataFrame, blocks: list[tuple[int, int]]) -> DataFrame:
     """doc, th, starts, stops, items of rows with a hit, from one pass over the rows for each block."""
     found = None
-    for k in range(n_blocks):
-        held = rows.sparkSession.sparkContext.broadcast(_collected(windows, F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == k))
+    for block in blocks:
+        held = rows.sparkSession.sparkContext.broadcast(_collected(windows, block))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             known = _windows_of(held)
@@ -139,8 +152,7 @@ def scan(
     is a single pass over the documents without a shuffle.  Otherwise each block's hits are stored,
     gathered by document and joined to it.
     """
-    windows = stored(item_windows(benchmark, window=window), "windows")
-    n_blocks = max(1, -(-windows.count() // block_windows))
+    windows, blocks = _blocks(stored(item_windows(benchmark, window=window), "windows"), block_windows)
     rows = rows_of(docs)
     if carry:
         rows = docs.select(
@@ -149,11 +161,11 @@ def scan(
             F.xxhash64(text_of(docs)).alias("th"),
             F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         )
-    if n_blocks == 1:
-        held = docs.sparkSession.sparkContext.broadcast(_collected(windows, F.lit(True)))
+    if len(blocks) < 2:
+        held = docs.sparkSession.sparkContext.broadcast(_collected(windows, blocks[0]) if blocks else [])
     else:
         held = None
-        rows = rows.join(_hits_of_blocks(rows, windows, n_blocks), ["doc", "th"], "left")
+        rows = rows.join(_hits_of_blocks(rows, windows, blocks), ["doc", "th"], "left")
     more = ("row",) if carry else ()
     kind = f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""
     schema = "doc_id long, n_words long, n_hit long, n_items long, items array<string>, contaminated boolean" + (", text string" if clean_text else "") + kind

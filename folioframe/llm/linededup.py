@@ -6,12 +6,14 @@ hash seen in ``min_docs`` documents or more keeps its lines in the first documen
 largest doc_id, and loses the others.  Since the document is part of the range key, a line that a
 third of all documents hold is dealt over many partitions.  A run that touches a partition's end may
 go on next door, so each partition passes on its first and last key with their document counts (two
-rows a partition, broadcast), and the rows of those keys are settled by the sums.
+rows a partition, broadcast if they are few), and the rows of those keys are settled by the sums.
 
 What comes back is a compressed keep bitmap for each document that loses lines, not text.
 
-Edge cases: a null or empty text is one empty line.  A null doc_id ranks as the largest id.  Rows that
-share a doc_id count as one document.  Repeated rows lose the same lines.  An empty table gives none.
+Edge cases: a null or empty text is one empty line.  Very long texts are read whole, and their bitmap
+has a bit a line.  A null doc_id ranks as the largest id.  Rows that share a doc_id count as one
+document.  Lines of one document that tie in their key stay or go together.  Repeated rows lose the
+same lines.  Columns of any other name are not read.  An empty table gives none.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_back, rows_of, stored
+from .common import id_back, rows_of, small, stored
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -131,8 +133,9 @@ def keep_bitmaps(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int =
     ranged = lines.repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", F.desc("doc"), "pos")
     found = stored(_streamed(ranged, min_docs), "line-runs")
     edges = found.where(F.col("kind") == _COUNT).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n"), F.max("doc").alias("top"))
-    # Two keys a partition at most, however large the input.
-    settled = found.where(F.col("kind") == _OPEN).join(F.broadcast(edges), ["h1", "h2"]).where((F.col("n") >= min_docs) & (F.col("doc") < F.col("top")))
+    # Two keys a partition at most; counted, since partitions grow with the input.
+    edges = stored(edges, "line-edges")
+    settled = found.where(F.col("kind") == _OPEN).join(small(edges, edges.count()), ["h1", "h2"]).where((F.col("n") >= min_docs) & (F.col("doc") < F.col("top")))
     lost = found.where(F.col("kind") == _DROP).select("doc", "th", "pos").unionAll(settled.select("doc", "th", "pos"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,8 +4,10 @@
 Policies are versioned masks over these bits: ``apply_policy`` turns a ledger into verdicts, and
 ``ablation`` compares policies, without touching a text again.
 
-Edge cases: a null or empty text has no words, so it fails ``too_few_words``.  Repeated rows get
-equal results.  An empty table gives an empty ledger.  Other columns are left out, whatever their names.
+Edge cases: a null or empty text has no words, so it fails ``too_few_words``.  Very long texts are measured
+whole.  Of windows or lines that tie, the first counts as stated by each measure.  Repeated rows get
+equal results, a null doc_id stays null.  An empty table gives an empty ledger.  Other columns are left
+out, whatever their names; ``filter_documents`` passes them on.
 """
 
 from __future__ import annotations

@@ -18,8 +18,10 @@ b * bits: any run of ids is read with numpy from the blocks that hold it.
 The shards are written by Spark's own file writer (one file for each row), which commits whole tasks
 and reaches any file system Spark knows, and read with the ``binaryFile`` source.
 
-Edge cases: a null or empty text has the end id alone.  A null doc_id ranks last and is stored as the
-largest long.  Repeated rows are each written.  An empty table gives no shards.
+Edge cases: a null or empty text has the end id alone.  A very long text is encoded whole, and may make a
+shard of its own.  A null doc_id ranks last and is stored as the largest long.  Rows that tie in doc_id
+are each written, in order of their text's hash; repeated rows likewise.  Columns of any other name are
+not read.  An empty table gives no shards.
 """
 
 from __future__ import annotations

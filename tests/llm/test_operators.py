@@ -607,6 +607,19 @@ def test_decontamination(spark, make_docs, block):
     assert got == brute.decontaminate(rows, [("null" if i is None else i, t) for i, t in ITEMS])
 
 
+def test_a_window_of_many_items_is_dealt_over_blocks(spark, make_docs):
+    """No broadcast holds more rows than a block, also where all items share one window."""
+    items = [(k, "the very same words in all of the items") for k in range(9)] + [(20, "others of it")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    windows, blocks = decontam._blocks(decontam.item_windows(table), 4)
+    assert sorted(r["count"] for r in windows.groupBy("bucket", "part").count().collect())[-1] <= 4 and len(blocks) >= 3
+    rows = [(1, "see the very same words in all of the items here"), (2, "no others"), (3, "others of it")]
+    got = by_id(decontam.scan(make_docs(rows), table, block_windows=4).withColumn("d", F.sha2(F.concat_ws(",", "items"), 256)), "n_words", "n_hit", "n_items", "d", "contaminated")
+    assert got == brute.decontaminate(rows, items)
+    none = decontam.scan(make_docs(rows), table.limit(0)).collect()
+    assert {(r["n_hit"], r["contaminated"]) for r in none} == {(0, False)}
+
+
 def test_clean_documents_stay(spark, make_docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     rows = [(1, "short item here"), (2, "keep me"), (3, None), (2, "keep me")]
