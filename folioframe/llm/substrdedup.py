@@ -12,14 +12,15 @@ same minimiser need to meet:
     words, from the smallest document that holds it.  A bucket's windows are sorted, and a window is
     removable in every document but the smallest.
 4.  A minimiser whose strings hold more than ``bucket_words`` words would be a bucket too large for a
-    task.  Its strings are dealt over many tasks, and their windows are counted as rows instead, with
-    sums before the shuffle and a join whose skewed partitions Spark can split.
+    task.  Its strings are dealt over as many parts as it needs.  A part removes its windows as a
+    bucket does, and passes on only those of the smallest document it holds each in, as rows: they
+    meet those of the other parts by sums before the shuffle and a join that Spark can split.
 
 Words are compared by 64-bit hashes, windows by two independent 64-bit hashes of these, super-k-mers
 by their minimiser and one such hash.
 
 Edge cases: a null or empty text has no words.  Texts of fewer than 50 words have no window.  Very
-long texts are read whole; a worker holds one text's words and about a megabyte of packed strings.
+long texts are read whole; a worker holds one text's words, or the strings of one part of a bucket.
 A null doc_id ranks last.  Rows that share a doc_id count as one document, so they never remove from
 each other.  Repeated rows lose the same words, and travel once.  Ties of minimisers need no rule, since
 equal windows have equal ones.  Columns of any other name are not read.  An empty table gives none.
@@ -43,8 +44,8 @@ WINDOW = 50
 RUN = 10
 #: Words that one bucket may hold; beyond it, words that one part of it may hold.
 BUCKET_WORDS = 20_000
-#: Bytes of packed strings that a Python worker expands at once.
-CHUNK = 1 << 20
+#: Bytes of packed strings that a Python worker expands at once, beside the last bucket among them.
+CHUNK = 1 << 22
 _SEEDS = (0x51ED270B27B4F3CF, 0xD6E8FEB86659FD93)
 
 
@@ -99,17 +100,6 @@ def _references(rows: DataFrame, window: int, run_words: int) -> DataFrame:
     return rows.mapInArrow(run, "mini long, sh long, doc long, th long, first int, n int")
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of packed strings of about CHUNK bytes, or of one string that is longer."""
-    size = np.cumsum(pc.binary_length(batch["words"]).to_numpy().astype(np.int64))
-    at = 0
-    while at < batch.num_rows:
-        before = int(size[at - 1]) if at else 0
-        end = max(at + 1, int(np.searchsorted(size, before + CHUNK, side="right")))
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def _packed(rows: DataFrame, strings: DataFrame, window: int) -> DataFrame:
     """mini, part, doc, th, first, words: each of ``strings`` with its words, joined by spaces.
 
@@ -157,59 +147,69 @@ def _window_hashes(packed: list[bytes], window: int) -> tuple[np.ndarray, np.nda
     return w1[inside], w2[inside], owner[inside], offset[inside]
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole buckets and parts, of about CHUNK bytes."""
+    mini, part = batch["mini"].to_numpy(), batch["part"].to_numpy()
+    size = np.cumsum(pc.binary_length(batch["words"]).to_numpy().astype(np.int64))
+    ends = np.append(np.flatnonzero((mini[1:] != mini[:-1]) | (part[1:] != part[:-1])) + 1, batch.num_rows)
+    at = 0
+    while at < batch.num_rows:
+        full = np.searchsorted(size, (size[at - 1] if at else 0) + CHUNK, side="right")
+        end = int(ends[np.searchsorted(ends, min(max(int(full), at + 1), batch.num_rows))])
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _bucket_spans(packed: DataFrame, window: int) -> DataFrame:
     """doc, th, begin, end: word spans to remove, from buckets that are streamed in minimiser order.
 
-    From parts of heavy buckets, every window instead, with its hashes w1 and w2, else null.
+    From a part of a heavy bucket also the windows of the smallest document that it holds each in,
+    with their hashes w1 and w2, which are else null.
     """
-    schema = "doc long, th long, begin int, end int, w1 long, w2 long"
-    names = ["doc", "th", "begin", "end", "w1", "w2"]
 
-    def spans(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def spans(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
         doc, first = batch["doc"].to_numpy(), batch["first"].to_numpy()
-        order = np.lexsort((doc[owner], w2, w1))
-        a, b, d = w1[order], w2[order], doc[owner][order]
-        head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
+
+        def rows(string: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: list[pa.Array]) -> pa.RecordBatch:
+            take = pa.array(string)
+            places = [pa.array((first[string] + x).astype(np.int32)) for x in (begin, end)]
+            return pa.RecordBatch.from_arrays([batch["doc"].take(take), batch["th"].take(take), *places, *hashes], names=["doc", "th", "begin", "end", "w1", "w2"])
+
+        # Of several buckets at once, equal windows are of one bucket: they have one minimiser.
+        part = batch["part"].to_numpy()[owner]
+        order = np.lexsort((doc[owner], part, w2, w1))
+        a, b, c, d = w1[order], w2[order], part[order], doc[owner][order]
+        head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])])) if len(a) else np.empty(0, np.int64)
         least = np.repeat(d[head], np.diff(np.append(head, len(a))))
         gone = np.sort(order[d > least])
         string, at = owner[gone], offset[gone]
         cut = np.flatnonzero(np.concatenate([[True], (string[1:] != string[:-1]) | (at[1:] != at[:-1] + 1)])) if len(gone) else gone
         last = np.append(cut[1:], len(gone))[: len(cut)] - 1
-        take = pa.array(string[cut])
-        begin = first[string[cut]] + at[cut]
-        ends = pa.array((begin + at[last] - at[cut] + window).astype(np.int32))
-        none = pa.nulls(len(cut), pa.int64())
-        return pa.RecordBatch.from_arrays([batch["doc"].take(take), batch["th"].take(take), pa.array(begin.astype(np.int32)), ends, none, none], names=names)
-
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        w1, w2, owner, offset = _window_hashes(batch["words"].to_pylist(), window)
-        take, begin = pa.array(owner), (batch["first"].to_numpy()[owner] + offset).astype(np.int32)
-        return pa.RecordBatch.from_arrays([batch["doc"].take(take), batch["th"].take(take), pa.array(begin), pa.array(begin + np.int32(window)), pa.array(signed(w1)), pa.array(signed(w2))], names=names)
+        yield rows(string[cut], at[cut], at[last] + window, [pa.nulls(len(cut), pa.int64())] * 2)
+        held = order[(d == least) & (c >= 0)]
+        yield rows(owner[held], offset[held], offset[held] + window, [pa.array(signed(w[held])) for w in (w1, w2)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # the last bucket, which may go on
+        held: list[pa.RecordBatch] = []  # the last bucket or part, which may go on
         for batch in batches:
-            heavy = batch["part"].to_numpy() >= 0
-            for part in _chunks(batch.filter(pa.array(heavy))):
-                yield windows(part)
-            batch = batch.filter(pa.array(~heavy))
-            mini = batch["mini"].to_numpy()
-            if not len(mini):
+            if not batch.num_rows:
                 continue
-            last = int(np.searchsorted(mini, mini[-1], side="left"))
-            if held and (last == 0 and held[-1]["mini"][-1].as_py() == mini[0]):
+            mini, part = batch["mini"].to_numpy(), batch["part"].to_numpy()
+            change = np.flatnonzero((mini[1:] != mini[:-1]) | (part[1:] != part[:-1])) + 1
+            last = int(change[-1]) if len(change) else 0
+            if held and not last and (held[-1]["mini"][-1].as_py(), held[-1]["part"][-1].as_py()) == (mini[0], part[0]):
                 held.append(batch)
                 continue
             whole = pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks().to_batches()
             held = [batch.slice(last)]
-            if whole:
-                yield spans(whole[0])
+            for piece in _pieces(whole[0]) if whole else ():
+                yield from spans(piece)
         if held:
-            yield spans(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            yield from spans(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
-    ordered = packed.repartition("mini", "part").sortWithinPartitions("mini")
-    return ordered.mapInArrow(run, schema)
+    ordered = packed.repartition("mini", "part").sortWithinPartitions("mini", "part")
+    return ordered.mapInArrow(run, "doc long, th long, begin int, end int, w1 long, w2 long")
 
 
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, run: int = RUN, bucket_words: int = BUCKET_WORDS) -> DataFrame:

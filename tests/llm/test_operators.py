@@ -572,6 +572,17 @@ def test_substrings_of_repeated_rows(spark, make_docs):
     assert [r["n_removed"] for r in out if r["doc_id"] == 4] == [0]
 
 
+def test_pieces_are_whole_buckets(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(substrdedup, "CHUNK", 20)
+    keys = [(1, -1)] * 3 + [(1, 0)] * 2 + [(2, -1), (3, -1)] + [(4, -1)] * 9 + [(5, -1)]
+    batch = pa.RecordBatch.from_pydict({"mini": [k[0] for k in keys], "part": [k[1] for k in keys], "words": [b"x" * (1 + 30 * (k[0] == 3)) for k in keys]})
+    cut = [list(zip(p["mini"].to_pylist(), p["part"].to_pylist(), strict=True)) for p in substrdedup._pieces(batch)]
+    assert [k for piece in cut for k in piece] == keys and len(cut) > 1
+    assert all(a[-1] != b[0] for a, b in zip(cut, cut[1:], strict=False))
+
+
 def test_packed_strings_do_not_grow_with_copies(spark, make_docs, monkeypatch):
     text = " ".join(words(31, 200))
     sent = []
