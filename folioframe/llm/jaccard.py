@@ -15,8 +15,8 @@ Sets of 5-word shingles link if their Jaccard similarity is at least ``percent``
 4.  Lists are scanned twice, so that groups of near copies never make all pairs.  The first scan
     pairs each entry with the one before it and the first of its list, compares each document's few
     most frequent pairs and all those of subset lists exactly, and forms components.  The second
-    compares every remaining pair of a list whose ends lie in different components, unless their
-    parity maps (1024 bits a set) rule a link out.  A pair that is skipped has both ends in one
+    compares every remaining pair of a list whose ends lie in different components.  Both leave out
+    pairs whose parity maps (1024 bits a set) rule a link out.  A pair that is skipped has both ends in one
     component already or can't link, so the components are those of all links.
 5.  The second scan joins a list's index entries with its probes.  In a pair that links, the smaller
     set holds the first common shingle so early that c(n, n) more can follow: those are its index
@@ -186,7 +186,7 @@ def _entries(rows: DataFrame, levels, width: int, percent: int, limit: int, hot:
                     continue
                 prefix = n - -(-percent * n // 100) + 1
                 rank = level[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                order = np.lexsort((s, rank))
+                order = np.argsort(rank, kind="stable")  # the set is sorted by hash
                 s, rank = s[order], rank[order]
                 toks.append(s[:prefix])
                 split.append(parts[rank[:prefix]])
@@ -245,7 +245,7 @@ def _listed(entries: DataFrame) -> DataFrame:
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             tok, part = batch["tok"].to_numpy(), batch["part"].to_numpy()
-            like_next = (tok[1:] == tok[:-1]) & (part[1:] == part[:-1])
+            like_next = tok[1:] == tok[:-1]
             like_last = np.concatenate([[met], like_next]) | (part >= 0)
             keep = np.flatnonzero(like_last[:-1] | like_next)
             yield batch.take(pa.array(keep))
@@ -253,7 +253,8 @@ def _listed(entries: DataFrame) -> DataFrame:
         if held is not None and met:
             yield held
 
-    return entries.repartition("tok", "part").sortWithinPartitions("tok", "part").select(*names).mapInArrow(run, _ENTRY)
+    # Parts of one list may mix in a partition: one long alone is sorted by radix.
+    return entries.repartition("tok", "part").sortWithinPartitions("tok").select(*names).mapInArrow(run, _ENTRY)
 
 
 def _may_link(x: str, y: str, percent: int, limit: int) -> Column:
@@ -287,6 +288,21 @@ def _first_pairs(lists: DataFrame, percent: int, limit: int) -> DataFrame:
     return _pairs(chosen, "me", "other").distinct()
 
 
+#: Whether the parity maps of two sets allow a link: no two sets that link differ in more bits.
+_DIFFER = "aggregate(zip_with({x}bits, {y}bits, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v)"
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    return F.expr(f"(100 + {percent}) * ({x}n + {y}n - {_DIFFER.format(x=x, y=y)}) >= 2 * {percent} * ({x}n + {y}n)")
+
+
+def _plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that parity maps don't rule out; their texts need not travel for the others."""
+    x = sets.select(F.col("doc").alias("a"), F.col("n").alias("x_n"), F.col("bits").alias("x_bits"))
+    y = sets.select(F.col("doc").alias("b"), F.col("n").alias("y_n"), F.col("bits").alias("y_bits"))
+    return pairs.join(x, "a").join(y, "b").where(_near("x_", "y_", percent)).select("a", "b").distinct()
+
+
 def _size_class(n: str, percent: int) -> Column:
     """Sets that may link are of one class or of two neighbouring ones; the base leaves room for rounding."""
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(101 / percent))).cast("int")
@@ -314,8 +330,6 @@ def _mixed_entries(lists: DataFrame, labels: DataFrame, bits: DataFrame, several
 
 def _second_pairs(entries: DataFrame, percent: int, limit: int) -> DataFrame:
     """The pairs of each list between different components, but for those whose parity maps differ too much to link."""
-    differ = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v)"
-    near = F.expr(f"(100 + {percent}) * (x.n + y.n - {differ}) >= 2 * {percent} * (x.n + y.n)")
     own = _size_class("n", percent)
     # Side 1 holds all entries, side 2 those outside the list's largest component.
     index = entries.where(f"(100 + {percent}) * (n - pos) >= 2 * {percent} * n")
@@ -323,7 +337,7 @@ def _second_pairs(entries: DataFrame, percent: int, limit: int) -> DataFrame:
     y = entries.withColumn("side", F.explode(F.when(F.col("major"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2))))).withColumn("class", own).alias("y")
     same_list = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.class") == F.col("y.class")) & (F.col("x.side") == F.col("y.side"))
     smaller = F.expr("x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.doc < y.doc)")
-    joined = x.join(y, same_list & smaller & _may_link("x", "y", percent, limit) & ~F.arrays_overlap("x.before", "y.before") & near)
+    joined = x.join(y, same_list & smaller & _may_link("x", "y", percent, limit) & ~F.arrays_overlap("x.before", "y.before") & _near("x.", "y.", percent))
     return _pairs(joined, "x.doc", "y.doc").distinct()
 
 
@@ -380,7 +394,7 @@ def _prepared(docs: DataFrame, width: int, percent: int, limit: int, hot: int) -
     read = stored(_signatures(rows.select("doc", "body"), width), "signatures")
     levels = docs.sparkSession.sparkContext.broadcast(_classes_of_frequency(read.where("kind = 1")))
     members = read.where("kind = 0").drop("kind")
-    classes = stored(members.where("n > 0").groupBy("sig").agg(F.min("doc").alias("rep"), F.any_value("bits").alias("bits")), "classes")
+    classes = stored(members.where("n > 0").groupBy("sig").agg(F.min("doc").alias("rep"), F.any_value("n").alias("n"), F.any_value("bits").alias("bits")), "classes")
     # Always by a shuffle of the texts, however few the classes: the plan is the same at every size.
     chosen = rows.select("doc", "body").join(classes.select(F.col("rep").alias("doc")).hint("merge"), "doc", "left_semi")
     return rows, members.drop("bits"), classes, stored(_listed(_entries(chosen, levels, width, percent, limit, hot)), "lists")
@@ -393,9 +407,10 @@ def near_components(docs: DataFrame, *, width: int = SHINGLE, percent: int = PER
     several = stored(members.where("n > 0").groupBy("doc").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).where("x <> y").select("doc"), "several")
     own = members.join(several, "doc", "left_semi").join(classes, "sig").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
-    first = stored(_first_pairs(lists, percent, limit), "pairs")
+    sets = classes.select(F.col("rep").alias("doc"), "n", "bits")
+    first = stored(_plausible(_first_pairs(lists, percent, limit), sets, percent), "pairs")
     labels = stored(components(_links(first, rows, width, percent).unionAll(own)), "labels")
-    entries = _mixed_entries(lists, labels, classes.select(F.col("rep").alias("doc"), "bits"), several)
+    entries = _mixed_entries(lists, labels, sets.drop("n"), several)
     drop_path(docs.sparkSession, lists._scratch)
     second = stored(_second_pairs(entries, percent, limit).join(first, ["a", "b"], "left_anti"), "pairs")
     more = _links(second, rows, width, percent)
