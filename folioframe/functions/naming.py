@@ -120,12 +120,14 @@ def check_image_dir(image_dir: str) -> str:
 
 
 def check_dpi(dpi: object) -> int:
-    if isinstance(dpi, bool) or not isinstance(dpi, int) or dpi < 1:
-        raise ValueError("dpi has to be a positive integer")
-    return dpi
+    """A whole number from 1 on, of type int itself: True is none."""
+    if type(dpi) is int and dpi > 0:
+        return dpi
+    raise ValueError(f"dpi has to be a positive integer, not {dpi!r}")
 
 
 def check_device(device: object) -> str:
-    if not isinstance(device, str) or not device.strip():
-        raise ValueError("device has to be a nonblank string")
-    return device.strip()
+    name = device.strip() if isinstance(device, str) else ""
+    if name:
+        return name
+    raise ValueError(f"device has to be a nonblank string, not {device!r}")

@@ -16,6 +16,7 @@ from ..functions.geometry import EDGES, box_error, clamped_box, exception_type,
 from ..functions.labels import kind_role, stripped
 from ..functions.naming import region_id
 from ..schemas import LOCATION, ORIGIN
+from ..scratch import stored
 
 PAGE = ["doc_key", "page_number"]
 
@@ -29,7 +30,8 @@ class Resolved:
 def checked_boxes(pages: DataFrame, raw_boxes: DataFrame) -> DataFrame:
     """Raw boxes with their page's size and the code of their first error (``code``, null if good)."""
     sized = raw_boxes.join(pages.select(*PAGE, "page_width", "page_height"), PAGE)
-    return sized.where(F.col("box_idx").isNotNull()).withColumn("code", box_error())
+    code = F.when(F.col("exception_type").isNotNull(), "detector").otherwise(box_error())
+    return sized.where(F.col("box_idx").isNotNull()).withColumn("code", code)
 
 
 def with_page_outcome(checked: DataFrame) -> DataFrame:
@@ -67,13 +69,12 @@ def good_regions(outcome: DataFrame) -> DataFrame:
 
 def box_errors(outcome: DataFrame) -> DataFrame:
     code = F.col("code")
-    return outcome.where(F.col("box_idx") == F.col("first_bad")["box_idx"]).select(
-        *PAGE, exception_type(code).alias("exception_type"), "code", message(code).alias("message")
-    )
+    kind, text = F.coalesce("exception_type", exception_type(code)), F.when(F.col("exception_type").isNotNull(), stripped(F.col("message"))).otherwise(message(code))
+    return outcome.where(F.col("box_idx") == F.col("first_bad")["box_idx"]).select(*PAGE, kind.alias("exception_type"), "code", text.alias("message"))
 
 
 def raised_errors(raw_boxes: DataFrame) -> DataFrame:
-    """Pages on which the detector raised: rows without a box."""
+    """Pages on which the detector raised before any box."""
     return raw_boxes.where(F.col("box_idx").isNull() & F.col("exception_type").isNotNull()).select(
         *PAGE, "exception_type", F.lit("detector").alias("code"), stripped(F.col("message")).alias("message")
     )
@@ -90,11 +91,17 @@ def init_errors(pages: DataFrame, failed_documents: DataFrame) -> DataFrame:
     return pages.select(*PAGE).join(failed_documents, "doc_key").select(*PAGE, kind.alias("exception_type"), F.lit("init_failure").alias("code"), text.alias("message"))
 
 
-def resolve(pages: DataFrame, raw_boxes: DataFrame, failed_documents: DataFrame | None = None) -> Resolved:
-    """Regions and errors of all documents.  Pages of failed documents are not looked at."""
+def resolve(pages: DataFrame, raw_boxes: DataFrame, failed_documents: DataFrame | None = None, keep: bool = False) -> Resolved:
+    """Regions and errors of all documents.  Pages of failed documents are not looked at.
+
+    With ``keep`` the judged boxes are stored: those who read regions and errors several times pay
+    for the shuffle and the window once.
+    """
     live = pages if failed_documents is None else pages.join(failed_documents.select("doc_key"), "doc_key", "left_anti")
     raised = raised_errors(raw_boxes).join(live.select(*PAGE), PAGE, "left_semi")
     outcome = with_page_outcome(checked_boxes(live, raw_boxes))
+    if keep:
+        outcome = stored(outcome, "judged")
     errors = raised.unionByName(box_errors(outcome))
     if failed_documents is not None:
         errors = errors.unionByName(init_errors(pages, failed_documents))

@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Protocol, runtime_checkable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import check_device, check_dpi, check_image_dir, detect_document_format, document_key_of
 from ..operators.detection import document_status, resolve
 from ..operators.manifests import overlay_boxes
-from ..schemas import DEFAULT_DPI, DEFAULT_IMAGE_DIR, SCHEMA_VERSION
+from ..schemas import DEFAULT_DPI, DEFAULT_IMAGE_DIR, EXTENSIONS, FORMATS, SCHEMA_VERSION
+from ..scratch import stored
 from ..sources import contract_io, overlay, providers
 
 
@@ -21,6 +22,10 @@ class NotRegistered(LookupError):
     """A known format without an extractor."""
 
 
+#: What a run raises for its input or its installation; anything else is a fault of the engine.
+EXPECTED = (ValueError, OSError, RuntimeError, NotRegistered)
+
+
 @dataclass(frozen=True)
 class Artifacts:
     """Paths of one document's run."""
@@ -67,20 +72,21 @@ def run_documents(
 ) -> Run:
     """All documents of a table in one job.  ``root`` is a folder that executors share.
 
-    Rendered pages and raw boxes are persisted before they branch, so that neither is made twice.  A
-    document that can't be rendered is recorded and does not stop the others.
+    Rendered pages, raw boxes, judged boxes and overlays are stored in the shared folder before they
+    branch: none is made twice, also where an executor is lost.  A document that can't be rendered is
+    recorded and does not stop the others.
     """
     check_dpi(dpi), check_device(device)
-    rendered = providers.render(documents, root, dpi=dpi, image_dir=check_image_dir(image_dir), opener=opener).persist(StorageLevel.DISK_ONLY)
+    rendered = stored(providers.render(documents, root, dpi=dpi, image_dir=check_image_dir(image_dir), opener=opener), "rendered")
     unrendered = rendered.where(F.col("page_number").isNull() & F.col("exception_type").isNotNull()).select("doc_key", "exception_type", "message")
     pages = rendered.where(F.col("page_number").isNotNull()).drop("exception_type", "message")
-    boxes = providers.detect(pages, factory, device=device, root=root).persist(StorageLevel.DISK_ONLY)
+    boxes = stored(providers.detect(pages, factory, device=device, root=root), "boxes")
     live = documents.join(unrendered.select("doc_key"), "doc_key", "left_anti")
-    found = resolve(pages, boxes)
+    found = resolve(pages, boxes, keep=True)
     status = document_status(live, pages, found.regions, found.errors).select("doc_key", "status")
     live = live.join(status, "doc_key")
-    overlays = overlay.export(overlay_boxes(pages, found.regions, dpi), root).persist(StorageLevel.DISK_ONLY)
-    exported = contract_io.export(live, pages, found.regions, found.errors, overlays, root, only_layout=only_layout)
+    overlays = stored(overlay.export(overlay_boxes(pages, found.regions, dpi), root), "overlays")
+    exported = stored(contract_io.export(live, pages, found.regions, found.errors, overlays, root, only_layout=only_layout), "exported")
     return Run(live, pages, found.regions, found.errors, overlays, exported, unrendered)
 
 
@@ -117,16 +123,51 @@ def render_pdf_layout_debug(spark: SparkSession, source: str, *, dpi: int = DEFA
     return f"{run.exported.first()['output_dir']}/layout.json"
 
 
-def extract(spark: SparkSession, source: str, extractors: dict[str, Callable[[SparkSession, str], DataFrame]] | list) -> DataFrame:
-    """Dispatch a source to its registered extractor: (format, callable giving documents with source_format)."""
-    pairs = list(extractors.items()) if isinstance(extractors, dict) else list(extractors)
+@runtime_checkable
+class Extractor(Protocol):
+    """What ``extract`` can send a source to."""
+
+    document_format: str
+
+    def supports(self, source: str | None) -> bool: ...
+
+    def extract(self, spark: SparkSession, source: str) -> DataFrame: ...
+
+
+class FormatExtractor:
+    """An extractor of one format from a callable that gives documents with source_format."""
+
+    def __init__(self, document_format: str, read: Callable[[SparkSession, str], DataFrame]) -> None:
+        if document_format not in FORMATS:
+            raise ValueError(f"an extractor needs a known format, one of {', '.join(FORMATS)}")
+        self.document_format, self._read = document_format, read
+
+    def supports(self, source: str | None) -> bool:
+        """False for what has no known format, and for null."""
+        suffix = os.path.splitext(source)[1].lower() if source else ""
+        return EXTENSIONS.get(suffix) == self.document_format
+
+    def extract(self, spark: SparkSession, source: str) -> DataFrame:
+        return self._read(spark, source)
+
+
+def find_extractor(source: str, extractors) -> Extractor:
+    """The one extractor of a source's format; a dict or pairs (format, callable) are wrapped."""
+    given = extractors.items() if isinstance(extractors, dict) else extractors
+    held = [e if isinstance(e, Extractor) else FormatExtractor(*e) for e in given]
     wanted = detect_document_format(source)
-    matches = [f for name, f in pairs if name == wanted]
-    if not matches:
-        raise NotRegistered(f"no layout extractor is registered for .{wanted} input")
-    if len(matches) > 1:
+    by_format = [e for e in held if e.document_format == wanted]
+    if len(by_format) == 1:
+        return by_format[0]
+    if by_format:
         raise ValueError(f"several layout extractors are registered for .{wanted} input")
-    result = matches[0](spark, source)
+    raise NotRegistered(f"no layout extractor is registered for .{wanted} input")
+
+
+def extract(spark: SparkSession, source: str, extractors) -> DataFrame:
+    """A source's documents from its registered extractor, whose format they must have."""
+    chosen = find_extractor(source, extractors)
+    wanted, result = chosen.document_format, chosen.extract(spark, source)
     wrong = result.where(~F.col("source_format").eqNullSafe(F.lit(wanted)))
     if wrong.take(1):
         raise ValueError("the layout extractor returned a document with another source_format")

@@ -340,7 +340,8 @@ def structural_format_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout JSON of every document of the fixture."""
-    f, found = _resolved(spark, sf_dir)
+    f = fx.fixture(spark, sf_dir)
+    found = detection.resolve(f.pages, f.raw_boxes, f.failed, keep=True)
     status = detection.document_status(f.documents, f.pages, found.regions, found.errors).select("doc_key", "status")
     documents = f.documents.join(status, "doc_key").withColumn("schema_version", F.lit("1.0"))
     return contract_io.layout_json(documents, found.regions, found.errors).withColumnRenamed("layout", "body")

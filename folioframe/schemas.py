@@ -30,7 +30,8 @@ def struct(fields: str) -> T.StructType:
 
 DOCUMENTS = struct("doc_key string, source string, source_format string, schema_version string, dpi int")
 PAGES = struct("doc_key string, page_number int, image string, page_width int, page_height int, rotation_degrees int")
-#: One row for each detected box, and one with box_idx null for a page that gave none or raised.
+#: One row for each detected box, and one with box_idx null for a page that gave none.  A row with an
+#: exception_type stands where the detector raised, behind the boxes that it gave before.
 RAW_BOXES = struct(
     "doc_key string, page_number int, box_idx int, is_mapping boolean, label string, label_ok boolean, score double, score_error string,"
     " coord_error string, x0 double, y0 double, x1 double, y1 double, exception_type string, message string"

@@ -209,6 +209,13 @@ def unknown_fields(docs: DataFrame, id_col: str = "path") -> DataFrame:
     return level.select("id", F.explode(found).alias("f")).select("id", "f.part", "f.field")
 
 
+#: A region as it is read from JSON, in one cast; numbers come as doubles.
+_REGION = (
+    "struct<id string, kind string, role string, raw_label string, confidence double, location struct<type string, page_number double, bbox array<double>,"
+    " page_width double, page_height double, coordinate_origin string, source_format string, item_ref string>>"
+)
+
+
 def _get(value: str, path: str, kind: str) -> str:
     return f"try_variant_get({value}, '$.{path}', '{kind}')"
 
@@ -229,25 +236,26 @@ def loaded(docs: DataFrame, id_col: str = "path") -> tuple[DataFrame, DataFrame,
     )
     listed = lambda n: docs.select(F.col(id_col).alias("doc_key"), F.posexplode(F.expr(_get("json", n, "array<variant>"))).alias("k", "v"))
     at = "try_variant_get(v, '$.location')"
+    read = listed("regions").select("doc_key", "k", F.expr(f"try_variant_get(v, '$', '{_REGION}')").alias("r"), F.expr(f"{at} IS NOT NULL").alias("placed"))
     location = F.struct(
-        F.coalesce(s(_get("v", "location.type", "string")), F.lit("visual")).alias("type"),
-        F.expr(_whole("v", "location.page_number")).alias("page_number"),
-        F.expr(_get("v", "location.bbox", "array<double>")).alias("bbox"),
-        F.expr(_get("v", "location.page_width", "double")).alias("page_width"),
-        F.expr(_get("v", "location.page_height", "double")).alias("page_height"),
-        F.coalesce(s(_get("v", "location.coordinate_origin", "string")), F.lit("top_left")).alias("coordinate_origin"),
-        s(_get("v", "location.source_format", "string")).alias("source_format"),
-        s(_get("v", "location.item_ref", "string")).alias("item_ref"),
+        F.coalesce(s("r.location.type"), F.lit("visual")).alias("type"),
+        F.expr("CASE WHEN r.location.page_number = floor(r.location.page_number) THEN cast(r.location.page_number AS int) END").alias("page_number"),
+        F.col("r.location.bbox").alias("bbox"),
+        F.col("r.location.page_width").alias("page_width"),
+        F.col("r.location.page_height").alias("page_height"),
+        F.coalesce(s("r.location.coordinate_origin"), F.lit("top_left")).alias("coordinate_origin"),
+        s("r.location.source_format").alias("source_format"),
+        s("r.location.item_ref").alias("item_ref"),
     ).cast(LOCATION)
-    regions = listed("regions").select(
+    regions = read.select(
         "doc_key",
         (F.col("k") + 1).alias("region_idx"),
-        s(_get("v", "id", "string")).alias("id"),
-        s(_get("v", "kind", "string")).alias("kind"),
-        F.coalesce(s(_get("v", "role", "string")), F.lit("body")).alias("role"),
-        s(_get("v", "raw_label", "string")).alias("raw_label"),
-        F.expr(_get("v", "confidence", "double")).alias("confidence"),
-        F.when(F.expr(f"{at} IS NOT NULL"), location).alias("location"),
+        s("r.id").alias("id"),
+        s("r.kind").alias("kind"),
+        F.coalesce(s("r.role"), F.lit("body")).alias("role"),
+        s("r.raw_label").alias("raw_label"),
+        F.col("r.confidence").alias("confidence"),
+        F.when(F.col("placed"), location).alias("location"),
     )
     errors = listed("errors").select(
         "doc_key",
@@ -269,7 +277,7 @@ def violations(documents: DataFrame, regions: DataFrame, errors: DataFrame) -> D
     bad_regions = regions.select("doc_key", F.lit("region").alias("part"), F.col("id").alias("name"), F.coalesce(own, located).alias("violation"))
     foreign = regions.where((at["type"] == "structural")).select("doc_key", "id", at["source_format"].alias("f"))
     mismatched = foreign.join(documents.select("doc_key", "source_format"), "doc_key").where(F.col("f") != F.col("source_format"))
-    mismatched = mismatched.select("doc_key", F.lit("region").alias("part"), F.col("id").alias("name"), F.lit("must match the document source_format").alias("violation"))
+    mismatched = mismatched.select("doc_key", F.lit("region").alias("part"), F.col("id").alias("name"), F.lit("foreign_format").alias("violation"))
     blank = lambda c: c.isNull() | (stripped(c) == "")
     failure = F.when(F.col("page_number").isNull() | (F.col("page_number") < 1), "page_number").when(blank(F.col("exception_type")), "exception_type").when(
         F.col("message").isNull(), "message"

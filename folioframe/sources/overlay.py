@@ -82,12 +82,18 @@ def export(boxes: DataFrame, root: str, read: Callable[[str], bytes] = read_file
     """Write an overlay for every page of ``boxes`` (see ``overlay_boxes``); doc_key, page_number, bbox_image.
 
     Executors open paths below ``root``, a folder they share.  One page's boxes meet in one task.
-    ``read`` and ``write`` may go to another store.
+    ``read`` and ``write`` may go to another store.  ``image`` must hold paths: another type is refused
+    here, and a page without a path before any image of its task is read.
     """
+    kind = boxes.schema["image"].dataType.simpleString()
+    if kind != "string":
+        raise TypeError(f"overlays need the path of each page's image as a string, not as {kind}")
 
     def pages(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             out = []
+            if bare := [f"{r['doc_key']}/{r['page_number']}" for r in part.select(["doc_key", "page_number", "image"]).to_pylist() if not (r["image"] or "").strip()]:
+                raise ValueError(f"pages without an image path have no overlay: {', '.join(bare[:5])}")
             for row in part.to_pylist():
                 key, number, image, listed = (row[c] for c in ("doc_key", "page_number", "image", "boxes"))
                 folder = f"{root}/{key}"

@@ -151,7 +151,9 @@ def _model(factory: ModelFactory, device: str) -> Any:
 
 
 def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: str = "cpu", root: str = "") -> DataFrame:
-    """RAW_BOXES of every page.  A page without boxes, or that raised, has one row without box_idx.
+    """RAW_BOXES of every page.  A page without boxes, or that raised before any, has one row without box_idx.
+
+    A raise after boxes is a row behind them with its exception_type: the first that is wrong counts.
 
     The model is made when a worker's first page comes; without pages there is none.  Keep the
     result (write or persist it) before branching, or detection runs again.
@@ -173,12 +175,9 @@ def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: s
                             data = prediction.json
                             boxes = data.get("res", data).get("boxes", [])
                             rows += [decode_box(b) | {"box_idx": len(rows) + k} for k, b in enumerate(boxes, 1)]
-                except Exception as error:  # noqa: BLE001 - becomes the page's error
-                    good = rows
-                    rows = [{"exception_type": type(error).__name__, "message": str(error)}]
-                    # A bad box before the failure would have been met first.
-                    if any(r.get("is_mapping") is False or not r.get("label_ok") or r.get("score_error") or r.get("coord_error") for r in good):
-                        rows = good
+                except Exception as error:  # noqa: BLE001 - becomes the page's error, if no box before it is bad
+                    place = {"box_idx": len(rows) + 1} if rows else {}
+                    rows.append(place | {"exception_type": type(error).__name__, "message": str(error)})
                 out += [page | r for r in rows] or [page]
             yield pa.RecordBatch.from_pylist(out, arrow_schema(RAW_BOXES))
 

@@ -174,7 +174,7 @@ def test_a_valid_document_loads(spark):
         (lambda d: d["regions"][1]["location"].update(bbox=[10, 20, 101, 120]), "bbox_off_page"),
         (lambda d: d["regions"][1]["location"].update(page_number=2.5), "page_number"),
         (lambda d: d["regions"][0]["location"].update(item_ref=" "), "item_ref"),
-        (lambda d: d["regions"][0]["location"].update(source_format="pdf"), "must match the document source_format"),
+        (lambda d: d["regions"][0]["location"].update(source_format="pdf"), "foreign_format"),
         (lambda d: d["regions"][0].update(confidence=2), "confidence"),
         (lambda d: d["regions"][0].update(kind="chart"), "kind"),
         (lambda d: d.update(schema_version="1"), "schema_version"),
@@ -235,3 +235,37 @@ def test_manifest_counts_regions_of_known_pages_only(spark):
     pages = spark.createDataFrame([("0", 2, "pages/page-0002.png", 9, 9, 0)], "doc_key string, page_number int, image string, page_width int, page_height int, rotation_degrees int")
     row = manifests.manifest_pages(pages, regions).first()
     assert (row["region_count"], row["region_ids"], row["bbox_image"]) == (0, [], "bbox/page-0002_bbox.png")
+
+
+class Stopping(Model):
+    """Gives its predictions, then raises."""
+
+    def predict(self, image, *, batch_size):
+        yield from super().predict(image, batch_size=batch_size)
+        raise RuntimeError(" stopped ")
+
+
+@pytest.mark.parametrize(
+    ("boxes", "error"),
+    [
+        ([box("text", 0.5, 60, 20, 10, 120)], ("ValueError", "a bounding box needs a positive width and height")),
+        ([box("text", 0.5, 1, 2, 3, 4), box("text", 0.5, 500, 20, 600, 120)], ("ValueError", "the bounding box lies outside the page")),
+        ([box("text", 1.5, 1, 2, 3, 4)], ("ValidationError", "the confidence has to lie between 0 and 1")),
+        ([box(" ", 0.5, 1, 2, 3, 4)], ("ValueError", "a detector box needs a label that is a nonblank string")),
+        ([box("text", 0.5, 1, 2, 3, 4)], ("RuntimeError", "stopped")),
+        ([], ("RuntimeError", "stopped")),
+    ],
+)
+def test_the_first_error_counts(spark, boxes, error):
+    """A detector that raises later doesn't hide a bad box before it."""
+    factory = lambda *, model_name, device: Stopping({"1": [{"boxes": [b]} for b in boxes]})
+    status, regions, errors = run(spark, [(1, 100, 130)], factory)
+    assert (status, regions) == ("failed", []) and [(e["exception_type"], e["message"]) for e in errors] == [error]
+
+
+def test_kept_boxes_give_the_same(spark):
+    rows = spark.createDataFrame([("d", n, f"{n}", 100, 130, 0) for n in (1, 2)], "doc_key string, page_number int, image string, page_width int, page_height int, rotation_degrees int")
+    boxes = providers.detect(rows, Factory({"1": [{"boxes": [box("text", 0.5, 1, 2, 3, 4)]}], "2": [{"boxes": [box("text", 0.5, 1, 2, 3, 4), {}]}]}))
+    once, kept = detection.resolve(rows, boxes), detection.resolve(rows, boxes, keep=True)
+    assert once.regions.collect() == kept.regions.collect() and once.errors.collect() == kept.errors.collect()
+    assert "Window" not in kept.regions._jdf.queryExecution().optimizedPlan().toString()

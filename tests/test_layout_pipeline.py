@@ -107,6 +107,42 @@ def test_extract(spark):
         pipeline.extract(spark, "a.pdf", {"pdf": give("docx")})
 
 
+def test_extractor_protocol(spark):
+    one = pipeline.FormatExtractor("pdf", lambda session, path: session.createDataFrame([("pdf",)], "source_format string"))
+    assert isinstance(one, pipeline.Extractor) and one.document_format == "pdf"
+    assert [one.supports(x) for x in ("a.pdf", "/x/B.PDF", "a.docx", "a.txt", "a", "", None)] == [True, True] + [False] * 5
+    assert pipeline.find_extractor("x.pdf", [one]) is one and pipeline.extract(spark, "x.pdf", [one]).count() == 1
+    with pytest.raises(ValueError, match="several"):
+        pipeline.extract(spark, "x.pdf", [one, one])
+    with pytest.raises(ValueError, match="known format"):
+        pipeline.FormatExtractor("txt", print)
+
+
+def test_public_names():
+    import folioframe
+
+    assert len(folioframe.__all__) > 30 and all(getattr(folioframe, name) is not None for name in folioframe.__all__)
+    assert folioframe.run_pdf_layout is pipeline.run_pdf_layout
+    with pytest.raises(AttributeError):
+        folioframe.nothing_of_this_name  # noqa: B018
+
+
+def test_overlays_need_image_paths(spark, tmp_path):
+    fields = "doc_key string, page_number int, image {}, region_idx int, id string, x0 int, y0 int, x1 int, y1 int, color array<int>, line_width int, caption string"
+    row = ("d", 1, None, None, None, 0, 0, 0, 0, None, 2, None)
+    with pytest.raises(TypeError, match="not as binary"):
+        overlay.export(spark.createDataFrame([row], fields.format("binary")), str(tmp_path))
+    with pytest.raises(Exception, match="without an image path"):
+        overlay.export(spark.createDataFrame([row], fields.format("string")), str(tmp_path)).collect()
+
+
+def test_dpi_option(spark, capsys):
+    for bad in ("0", "-3", "x", "1.5", ""):
+        with pytest.raises(SystemExit) as stop:
+            cli.main(["debug", "a.pdf", "--dpi", bad], session=spark)
+        assert stop.value.code == 2 and "positive integer" in capsys.readouterr().err
+
+
 def test_command_line(spark, capsys):
     given = {}
 
