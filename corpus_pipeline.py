@@ -1,10 +1,16 @@
 """The corpus pipeline: documents through five operators, each stage stored before the next reads it.
 
 1. quality rules: documents that the policy rejects go;
-2. n-gram Jaccard join: of each group of near-duplicates the smallest doc_id stays;
+2. n-gram Jaccard join: of each group of near-duplicates the smallest doc_id stays, null last;
 3. benchmark decontamination: contaminated documents go;
 4. mixing sources to target weights: a document appears as often as the mix takes it;
 5. token-ID / binary output: bit-packed shards, read back to one row for each document written.
+
+Edge cases: null and empty texts have too few words for stage 1.  Very long texts go through whole.
+Rows that are equal, or tie as copies, leave one row at stage 2; rows that share a doc_id, or have
+none, but differ in text are documents of their own.  A null doc_id is written last.  Further columns
+of documents, whatever their names, are carried up to stage 4 and are not read.  Of an empty table
+nothing is written.
 """
 
 from __future__ import annotations
