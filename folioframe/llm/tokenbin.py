@@ -26,6 +26,7 @@ not read.  An empty table gives no shards.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -64,6 +65,18 @@ def _is_hard(text: str) -> bool:
     return any(c in text for c in "\x1c\x1d\x1e\x1f")
 
 
+def _uncached(path: str):
+    """The file's model without the library's own memory of words, which costs more than it saves behind ours; None unless it is a plain BPE."""
+    from tokenizers.models import BPE
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    if model.get("type") != "BPE" or any(v for k, v in model.items() if k not in ("type", "vocab", "merges")):
+        return None
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    return BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
+
+
 class Encoder:
     """The tokenizer file's ids as little-endian uint32 bytes, with the pieces' ids remembered.
 
@@ -78,11 +91,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        self.model = _uncached(path) or self.whole.model
         self.vocab_size = self.whole.get_vocab_size(with_added_tokens=True)
         special = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special)) if special else None
-        self.plain = type(self.whole.pre_tokenizer).__name__ == "ByteLevel" and self.whole.normalizer is None and not self.whole.pre_tokenizer.add_prefix_space
+        before = self.whole.pre_tokenizer
+        self.plain = type(before).__name__ == "ByteLevel" and before.use_regex and not before.add_prefix_space and self.whole.normalizer is None
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.table = dict(zip(shown, map(chr, shown), strict=True))
         hidden = (b for b in range(256) if b not in self.table)

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from folioframe.llm import decontam, htmltext, jaccard, linededup, mixing, pii, quality, queries, substrdedup, tokenbin, urlfilter
 from pyspark.sql import functions as F
@@ -143,6 +144,20 @@ def test_tokens(spark, make_docs):
     assert got == brute.token_rows(rows, encode)
 
 
+def test_encoder_is_the_library_on_random_texts():
+    from tokenizers import Tokenizer
+
+    whole, encoder = Tokenizer.from_file(queries.tokenizer_path()), tokenbin.Encoder(queries.tokenizer_path())
+    assert encoder.plain and encoder.model is not encoder.whole.model
+    r = random.Random(11)
+    ranges = [(32, 127), (32, 127), (9, 14), (0, 32), (127, 256), (256, 592), (0x300, 0x370), (0x370, 0x800), (0x2000, 0x2100), (0x4E00, 0x4F00), (0x1F300, 0x1F700)]
+    for k in range(4000):
+        some = ranges[: 1 + k % len(ranges)]
+        text = "".join(chr(r.randrange(*r.choice(some))) for _ in range(r.randrange(60)))
+        text = r.choice(("", "don't we'll I'VE ", "  two  spaces ", "12 3,4.5 ")) + text
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_repeated_and_null_ids_are_all_written(spark, make_docs):
     got = tokenbin.tokenize(make_docs([(1, "a"), (1, "a"), (None, "b"), (1, None)]), queries.tokenizer_path()).orderBy("start").collect()
     assert [r["doc_id"] for r in got] == [1, 1, 1, None]
