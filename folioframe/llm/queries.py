@@ -33,7 +33,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.size(F.array_remove(kinds, k)).cast("long") for k in pii.KINDS]
     counts = [(F.size("base") - n).alias(f"n_{k}") for k, n in zip(pii.KINDS, counts, strict=True)]
     spans = F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(more, F.lit("")))
-    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), F.size("base").cast("long").alias("n_base"))
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:

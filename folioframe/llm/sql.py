@@ -58,7 +58,7 @@ word as (select doc_id, unnest({_located("term", r"\p{L}+", "true")}) as s from
 more as (select doc_id, string_agg(concat(case when share >= {pii.REMOVE} then 'term_removed' else 'term' end, ':', s.b, ':', s.b + length(s.v)), ',' order by s.b) as more
   from word join mine using (doc_id) where lower(s.v) = term group by 1)
 select doc_id, {", ".join(f"len(list_filter(base, lambda s: s.kind = '{k}'))::bigint as n_{k}" for k in pii.KINDS)},
-  sha256({_NAMED.format("base")}) as base_sha256, concat_ws(',', nullif({_NAMED.format("base")}, ''), more) as spans
+  sha256({_NAMED.format("base")}) as base_sha256, concat_ws(',', nullif({_NAMED.format("base")}, ''), more) as spans, len(base)::bigint as n_base
 from based left join more using (doc_id)
 """
 
