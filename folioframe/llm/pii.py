@@ -170,6 +170,11 @@ def _held(texts: DataFrame, near: int) -> DataFrame:
     return stored(found.where(F.size("spans") > 0).dropDuplicates(["doc_id", "th"]), "pii-held")
 
 
+def _weight(df: DataFrame, chars: Column) -> int:
+    """The rows of a table; one with long values counts once more for each 64 code points of them."""
+    return df.agg(F.sum(1 + F.floor(chars / 64))).first()[0] or 0
+
+
 def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], span["value"])
 
@@ -216,7 +221,8 @@ def _term_spans(texts: DataFrame, held: DataFrame, found: DataFrame, remove: flo
     Words meet the terms as rows, so a text with many of both is no square.
     """
     entities = held.select("doc_id", "th", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
-    mine = entities.join(small(found, found.count()), "entity").groupBy("doc_id", "th", "term").agg(F.max("share").alias("share"))
+    told = small(found, _weight(found, F.length("entity") + F.length("term")))
+    mine = entities.join(told, "entity").groupBy("doc_id", "th", "term").agg(F.max("share").alias("share"))
     mine = stored(mine.withColumnsRenamed({"doc_id": "_id", "th": "_th"}), "pii-mine")
     rows = stored(mine.select("_id", "_th").distinct(), "pii-rows")
     both = texts.join(small(rows, rows.count()), _like("doc_id", "th")).dropDuplicates(["doc_id", "th"])
@@ -248,7 +254,9 @@ def find(
     spans = held.join(more, _like("doc_id", "th"), "left").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), plain.alias("base"), "more")
     spans = stored(spans, "pii-spans")
     none = F.array().cast(_SPAN)
-    joined = texts.join(small(spans, spans.count()), _like("doc_id", "th"), "left")
+    # A row may hold any number of spans, so spans are what the bound of a broadcast counts.
+    chars = F.aggregate(F.concat("base", F.coalesce("more", none)), F.lit(0).cast("long"), lambda n, s: n + 64 + F.length(s["value"]))
+    joined = texts.join(small(spans, _weight(spans, chars)), _like("doc_id", "th"), "left")
     return joined.select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("more", none).alias("more"), *(["text"] if with_text else []))
 
 
