@@ -39,6 +39,7 @@ _PUBLIC = {
         "source_documents",
     ),
     "sources.contract_io": ("layout_json", "loaded", "parsed", "unknown_fields", "violations"),
+    "sources.overlay": ("crops",),
     "sources.providers": ("decode_box", "detect", "render"),
 }
 _MODULE_OF = {name: module for module, names in _PUBLIC.items() for name in names}

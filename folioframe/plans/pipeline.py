@@ -16,6 +16,7 @@ from ..operators.manifests import overlay_boxes
 from ..schemas import DEFAULT_DPI, DEFAULT_IMAGE_DIR, EXTENSIONS, FORMATS, SCHEMA_VERSION
 from ..scratch import stored
 from ..sources import contract_io, overlay, providers
+from ..sources.files import absolute, is_file
 
 
 class NotRegistered(LookupError):
@@ -54,7 +55,7 @@ class Run:
 def source_documents(spark: SparkSession, sources: list[str], dpi: int, resolve_paths: bool = True) -> DataFrame:
     rows = []
     for source in sources:
-        full = os.path.realpath(source)
+        full = absolute(source)
         rows.append((document_key_of(full), full if resolve_paths else source, detect_document_format(source), SCHEMA_VERSION, dpi))
     return spark.createDataFrame(rows, "doc_key string, source string, source_format string, schema_version string, dpi int")
 
@@ -70,7 +71,7 @@ def run_documents(
     opener: Callable = providers.open_pdf,
     only_layout: bool = False,
 ) -> Run:
-    """All documents of a table in one job.  ``root`` is a folder that executors share.
+    """All documents of a table in one job.  ``root`` is a folder that executors share, or the URI of one.
 
     Rendered pages, raw boxes, judged boxes and overlays are stored in the shared folder before they
     branch: none is made twice, also where an executor is lost.  A document that can't be rendered is
@@ -94,11 +95,11 @@ def run_pdf_layout(spark: SparkSession, source: str, *, output_dir: str = "data/
     """One PDF, with all checks before any work; a render failure raises."""
     if detect_document_format(source) != "pdf":
         raise NotRegistered("the .docx format is known, but this command processes PDF input only")
-    if not os.path.isfile(source):
+    if not is_file(source):
         raise FileNotFoundError(f"the layout input does not exist: {source}")
     check_dpi(dpi), check_image_dir(image_dir), check_device(device)
     documents = source_documents(spark, [source], dpi)
-    run = run_documents(documents, os.path.realpath(output_dir), dpi=dpi, image_dir=image_dir, device=device, factory=factory, opener=opener)
+    run = run_documents(documents, absolute(output_dir), dpi=dpi, image_dir=image_dir, device=device, factory=factory, opener=opener)
     if failed := run.unrendered.first():
         raise RuntimeError(f"{failed['exception_type']}: {failed['message']}")
     row = run.exported.first()
@@ -117,7 +118,7 @@ def render_pdf_layout_debug(spark: SparkSession, source: str, *, dpi: int = DEFA
     if not source.lower().endswith(".pdf"):
         raise ValueError(f"PDF page rendering requires a .pdf source: {source}")
     documents = source_documents(spark, [source], check_dpi(dpi), resolve_paths=False)
-    run = run_documents(documents, os.path.realpath(output_dir), dpi=dpi, image_dir=image_dir, factory=factory, opener=opener, only_layout=True)
+    run = run_documents(documents, absolute(output_dir), dpi=dpi, image_dir=image_dir, factory=factory, opener=opener, only_layout=True)
     if failed := run.unrendered.first():
         raise RuntimeError(f"{failed['exception_type']}: {failed['message']}")
     return f"{run.exported.first()['output_dir']}/layout.json"

@@ -15,7 +15,7 @@ from ..functions.labels import stripped
 from ..functions.naming import check_dpi
 from ..operators.manifests import manifest_pages, overlay_coverage, render_manifest_pages
 from ..schemas import LOCATION, MANIFEST_VERSION, SCHEMA_VERSION
-from .overlay import write_file
+from .files import absolute, is_file, write_file
 
 # ---- out -------------------------------------------------------------------------------------------
 
@@ -143,11 +143,9 @@ def export(
 
 def checked_artifact(path: str, folder: str, exists: Callable[[str], bool] | None = None) -> str:
     """``path`` relative to ``folder``; it must exist and lie inside."""
-    import os
-
-    if not (exists or os.path.isfile)(path):
+    if not (exists or is_file)(path):
         raise FileNotFoundError(f"an artifact is missing: {path}")
-    relative = posixpath.relpath(os.path.realpath(path), os.path.realpath(folder))
+    relative = posixpath.relpath(absolute(path), absolute(folder))
     if relative.split("/")[0] == "..":
         raise ValueError(f"an artifact lies outside the document's folder: {path}")
     return relative

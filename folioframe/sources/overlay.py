@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.downstream import flat_regions
 from ..schemas import OVERLAY_DIR
 from . import png
+from .files import read_file, write_file
 
 # A 3 x 5 bitmap font: five rows of three bits for each character.  The caption's look is free.
 _GLYPHS = {
@@ -64,24 +67,10 @@ def draw(image: np.ndarray, boxes: list[dict]) -> np.ndarray:
     return image
 
 
-def read_file(path: str) -> bytes:
-    with open(path, "rb") as f:
-        return f.read()
-
-
-def write_file(path: str, data: bytes) -> None:
-    import os
-
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(f"{path}.part", "wb") as f:
-        f.write(data)
-    os.replace(f"{path}.part", path)
-
-
 def export(boxes: DataFrame, root: str, read: Callable[[str], bytes] = read_file, write: Callable[[str, bytes], None] = write_file) -> DataFrame:
     """Write an overlay for every page of ``boxes`` (see ``overlay_boxes``); doc_key, page_number, bbox_image.
 
-    Executors open paths below ``root``, a folder they share.  One page's boxes meet in one task.
+    Executors open paths below ``root``, a folder they share or a URI.  One page's boxes meet in one task.
     ``read`` and ``write`` may go to another store.  ``image`` must hold paths: another type is refused
     here, and a page without a path before any image of its task is read.
     """
@@ -107,3 +96,28 @@ def export(boxes: DataFrame, root: str, read: Callable[[str], bytes] = read_file
     listed = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct(*fields))))
     grouped = boxes.groupBy("doc_key", "page_number", "image").agg(listed.alias("boxes"))
     return grouped.mapInArrow(pages, "doc_key string, page_number int, bbox_image string")
+
+
+def crops(pages: DataFrame, regions: DataFrame, root: str, read: Callable[[str], bytes] = read_file) -> DataFrame:
+    """doc_key, page_number, id, x0, y0, png: every visual region cut from its page's clean image (an extension).
+
+    A cut covers all pixels that the box touches, and x0, y0 is its corner on the page.  A page's
+    image is read once; a region whose page has no row is left out.
+    """
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for row in part.to_pylist():
+                picture = png.decode(read(f"{root}/{row['doc_key']}/{row['image']}"))
+                height, width = picture.shape[:2]
+                out = []
+                for b in row["boxes"]:
+                    x0, y0 = min(math.floor(b["x0"]), width - 1), min(math.floor(b["y0"]), height - 1)
+                    x1, y1 = max(min(math.ceil(b["x1"]), width), x0 + 1), max(min(math.ceil(b["y1"]), height), y0 + 1)
+                    out.append({"doc_key": row["doc_key"], "page_number": row["page_number"], "id": b["id"], "x0": x0, "y0": y0, "png": png.encode(picture[y0:y1, x0:x1])})
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_key", pa.string()), ("page_number", pa.int32()), ("id", pa.string()), ("x0", pa.int32()), ("y0", pa.int32()), ("png", pa.binary())]))
+
+    boxes = F.array_sort(F.collect_list(F.struct("region_idx", "id", "x0", "y0", "x1", "y1"))).alias("boxes")
+    by_page = flat_regions(regions).groupBy("doc_key", "page_number").agg(boxes)
+    images = pages.select("doc_key", "page_number", "image")
+    return images.join(by_page, ["doc_key", "page_number"]).mapInArrow(cut, "doc_key string, page_number int, id string, x0 int, y0 int, png binary")

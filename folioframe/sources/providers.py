@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.naming import check_device, check_dpi, check_image_dir
 from ..schemas import DEFAULT_DPI, DEFAULT_IMAGE_DIR, MODEL_NAME, PAGES, POINTS_PER_INCH, RAW_BOXES
 from . import png
-from .overlay import write_file
+from .files import is_uri, read_file, write_file
 
 
 class LayoutModel(Protocol):
@@ -44,7 +44,7 @@ def open_pdf(path: str, scale: float) -> Iterator[tuple[Any, int]]:
         raise RuntimeError("rendering PDF pages needs pypdfium2") from error
     import numpy as np
 
-    document = pypdfium2.PdfDocument(path)
+    document = pypdfium2.PdfDocument(read_file(path) if is_uri(path) else path)
     try:
         for k in range(len(document)):
             page = document[k]
@@ -78,7 +78,7 @@ def render(
 ) -> DataFrame:
     """PAGES, and exception_type and message: a document that can't be rendered gives one row without a page.
 
-    Page images are written below ``root``/doc_key, a folder that executors share, and travel as paths.
+    Page images are written below ``root``/doc_key, a folder that executors share or a URI, and travel as paths.
     """
     check_dpi(dpi)
     image_dir = check_image_dir(image_dir)
@@ -150,9 +150,15 @@ def _model(factory: ModelFactory, device: str) -> Any:
     return _models[key]
 
 
+def _input(path: str) -> Any:
+    return png.decode(read_file(path))[:, :, ::-1] if is_uri(path) else path
+
+
 def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: str = "cpu", root: str = "") -> DataFrame:
     """RAW_BOXES of every page.  A page without boxes, or that raised before any, has one row without box_idx.
 
+    The model gets an image's path, and where ``root`` is a URI its pixels, in the order blue, green, red.
+
     A raise after boxes is a row behind them with its exception_type: the first that is wrong counts.
 
     The model is made when a worker's first page comes; without pages there is none.  Keep the
@@ -171,7 +177,7 @@ def detect(pages: DataFrame, factory: ModelFactory = default_model, *, device: s
                     if isinstance(model, Exception):
                         rows = [{"exception_type": type(model).__name__, "message": str(model)}]
                     else:
-                        for prediction in model.predict(f"{root}/{key}/{image}" if root else image, batch_size=1):
+                        for prediction in model.predict(_input(f"{root}/{key}/{image}" if root else image), batch_size=1):
                             data = prediction.json
                             boxes = data.get("res", data).get("boxes", [])
                             rows += [decode_box(b) | {"box_idx": len(rows) + k} for k, b in enumerate(boxes, 1)]

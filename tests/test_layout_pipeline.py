@@ -6,7 +6,7 @@ import os
 import numpy as np
 import pytest
 from folioframe.plans import cli, pipeline
-from folioframe.sources import contract_io, overlay, png
+from folioframe.sources import contract_io, files, overlay, png
 
 from tests.test_layout_detection import Factory, Result, box
 
@@ -59,6 +59,40 @@ def test_pipeline(spark, tmp_path):
     assert again.output_dir == a.output_dir and other != os.path.basename(a.output_dir)
 
 
+class Pixels:
+    def predict(self, image, *, batch_size):
+        assert image.shape == (120, 100, 3) and tuple(image[0, 0]) == (3, 2, 1)
+        yield Result({"res": {"boxes": [box("table", 0.9, 10, 20, 40, 50), box("text", 0.8, 99.5, 0.4, 100, 120)]}})
+
+
+def pixels(*, model_name, device):
+    return Pixels()
+
+
+def one_page(path, scale):
+    assert files.read_file(path) == b"%PDF"
+    image = np.tile(np.arange(120, dtype=np.uint8)[:, None, None], (1, 100, 3))
+    image[0, 0] = (1, 2, 3)
+    yield image, 0
+
+
+def test_run_and_crops_by_uri(spark, tmp_path):
+    """Sources and folders as URIs; the model gets pixels, and crops are cut from the clean image."""
+    source(tmp_path)
+    a = pipeline.run_pdf_layout(spark, f"file://{tmp_path}/quarterly report.pdf", output_dir=f"file://{tmp_path}/by uri/", factory=pixels, opener=one_page)
+    local = f"{tmp_path}/by uri/{os.path.basename(a.output_dir)}"
+    assert a.status == "complete" and a.output_dir.startswith("file://") and not a.output_dir.startswith(f"file://{tmp_path}/by uri//")
+    assert sorted(os.listdir(local)) == ["bbox", "layout.json", "manifest.json", "pages", "render-manifest.json"]
+    assert files.is_file(a.layout_path) and files.is_file(a.page_images[0]) and not files.is_file(f"{a.output_dir}/none")
+    documents = pipeline.source_documents(spark, [f"file://{tmp_path}/quarterly report.pdf"], 200)
+    run = pipeline.run_documents(documents, f"file://{tmp_path}/by uri", factory=pixels, opener=one_page)
+    cut = {r["id"]: (r["x0"], r["y0"], png.decode(bytes(r["png"]))) for r in overlay.crops(run.pages, run.regions, f"file://{tmp_path}/by uri").collect()}
+    x0, y0, table = cut["p0001-r0001"]
+    assert (x0, y0, table.shape) == (10, 20, (30, 30, 3)) and [int(v) for v in table[:, 0, 0]] == list(range(20, 50))
+    assert cut["p0001-r0002"][:2] == (99, 0) and cut["p0001-r0002"][2].shape == (120, 1, 3)
+    assert overlay.crops(run.pages.limit(0), run.regions, "none").collect() == []
+
+
 def test_failed_run_still_writes(spark, tmp_path):
     a = pipeline.run_pdf_layout(spark, source(tmp_path), output_dir=str(tmp_path / "o"), factory=Factory(error=RuntimeError("no ümlaut")), opener=two_pages)
     assert a.status == "failed" and all(map(os.path.isfile, (*a.page_images, *a.bbox_images)))
